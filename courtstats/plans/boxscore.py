@@ -58,6 +58,14 @@ def stat_headings(html: Column) -> Column:
     )
 
 
+def player_names(html: Column) -> Column:
+    """Names in the player links of a page, home side first."""
+    return F.transform(
+        attribute_values(html, "a", "href", fixed.PLAYER_LINK_CLASS),
+        lambda h: first_match(h, f"^(?:{fixed.PLAYER_LINK})", 1),
+    )
+
+
 def name_rows(html: Column) -> Column:
     """Per side, the bold text of every row in the name container."""
     containers = parts_after(html, opening_tag("div", fixed.NAMES_CLASS))
@@ -143,10 +151,7 @@ def page_sides(pages: DataFrame, strict: bool = True) -> DataFrame:
         "Season",
         element_texts(F.col("html"), "h1", fixed.CLUB_CLASS).alias("clubs"),
         element_texts(F.col("html"), "li", fixed.INFO_CLASS).alias("info"),
-        F.transform(
-            attribute_values(F.col("html"), "a", "href", fixed.PLAYER_LINK_CLASS),
-            lambda h: first_match(h, f"^(?:{fixed.PLAYER_LINK})", 1),
-        ).alias("players"),
+        player_names(F.col("html")).alias("players"),
         stat_groups(F.col("html")).alias("groups"),
         name_rows(F.col("html")).alias("names"),
     )
