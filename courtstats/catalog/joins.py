@@ -40,13 +40,17 @@ def player_rows(rows: DataFrame) -> DataFrame:
 
 
 def team_rows(rows: DataFrame) -> DataFrame:
-    """Team averages up to the last but one month, written once."""
+    """Team averages up to the last but one month, written once.
+
+    A team has at most one row a month here, so no key can be hot.
+    """
     means = running_means(
         team_rounds(rows),
         ["season", "team"],
         ["round"],
         {f"avg_{m}": m for m in FACT_MEASURES},
         "team",
+        split=None,
     )
     kept = means.where(F.col("round") != LAST_MONTH)
     return stage(kept.select("season", "team", "round", *AVERAGES), "team-rounds")
@@ -122,6 +126,8 @@ def lagged_opponent_join(spark, sf_dir):
 
 
 def lag_features(rows: DataFrame) -> DataFrame:
+    """The rows are read by the team and the player branch: written once."""
+    rows = stage(rows, "fact")
     teams = team_rows(rows)
     players = with_merge_round(player_rows(rows))
     own = lag_join(players, teams, "team", "_own_team")

@@ -99,6 +99,7 @@ def team_running_avg(spark, sf_dir):
         ["round"],
         {f"avg_{m}": m for m in FACT_MEASURES},
         "team",
+        split=None,  # at most one row a month per key
     )
     return means.select(
         "season", "team", "round", "game_number", *[f"avg_{m}" for m in FACT_MEASURES]

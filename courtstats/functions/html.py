@@ -17,7 +17,7 @@ from courtstats.functions.text import strip_text
 def visible_html(html: Column) -> Column:
     """HTML without comments, scripts and styles, which hold no elements."""
     return F.regexp_replace(
-        html, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", ""
+        html, r"(?is)<(?:!--.*?-->|(script|style)\b.*?</\1\s*>)", ""
     )
 
 
@@ -67,7 +67,8 @@ def decode_entities(text: Column) -> Column:
 
 def text_of(fragment: Column) -> Column:
     """Text of an HTML fragment: tags removed, references resolved."""
-    return decode_entities(F.regexp_replace(fragment, r"(?s)<[^>]*>", ""))
+    text = decode_entities(F.regexp_replace(fragment, r"(?s)<[^>]*>", ""))
+    return F.when(fragment.rlike("[<&]"), text).otherwise(fragment)
 
 
 def element_fragments(html: Column, tag: str, css_class: str | None = None) -> Column:

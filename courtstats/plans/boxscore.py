@@ -67,8 +67,13 @@ def player_names(html: Column) -> Column:
 
 
 def name_rows(html: Column) -> Column:
-    """Per side, the bold text of every row in the name container."""
+    """Per side, the bold text of every row in the name container.
+
+    Children are counted only up to the next group of statistics: name rows
+    hold no group, and the rest of the page need not be taken apart.
+    """
     containers = parts_after(html, opening_tag("div", fixed.NAMES_CLASS))
+    group = opening_tag("div", fixed.GROUP_CLASS)
 
     def bold_text(row: Column) -> Column:
         return strip_text(text_of(F.get(element_fragments(row, "b"), F.lit(0))))
@@ -76,7 +81,8 @@ def name_rows(html: Column) -> Column:
     return F.transform(
         containers,
         lambda c: F.transform(
-            after_leading_rows(child_fragments(c)), lambda r: bold_text(r)
+            after_leading_rows(child_fragments(F.split(c, group, 2)[0])),
+            lambda r: bold_text(r),
         ),
     )
 
@@ -142,10 +148,11 @@ def page_sides(pages: DataFrame, strict: bool = True) -> DataFrame:
 
     ``problem`` is null for a side whose groups fit together.
     """
-    # The page's text is used for five extractions; it is cleaned once.
-    clean = pages.select(
+    # Pages that never name the class have no group and are not taken apart. The
+    # text is cleaned once for the five extractions.
+    clean = pages.where(F.contains("html", F.lit(fixed.GROUP_CLASS))).select(
         "page_id", "Season", visible_html(F.col("html")).alias("html")
-    ).where(F.col("html").rlike(opening_tag("div", fixed.GROUP_CLASS)))
+    )
     parsed = clean.select(
         "page_id",
         "Season",
@@ -163,6 +170,7 @@ def page_sides(pages: DataFrame, strict: bool = True) -> DataFrame:
     roles = home_away_roles(
         F.get("clubs", F.lit(0)),
         F.get("clubs", F.lit(1)),
+        n_groups=(F.size(groups), F.size(groups)),
         groups=(head_of(groups, n_groups), tail_of(groups, n_groups)),
         labels=(
             row_labels(head_of(players, n_home), has_team_row(home_rows)),
@@ -172,7 +180,11 @@ def page_sides(pages: DataFrame, strict: bool = True) -> DataFrame:
     sides = parsed.select(
         "page_id", "Season", *_info_columns(F.col("info"), strict), F.inline(roles)
     )
-    return sides.withColumn("problem", _side_problem())
+    return (
+        sides.where(F.col("n_groups") > 0)
+        .drop("n_groups")
+        .withColumn("problem", _side_problem())
+    )
 
 
 def _side_problem() -> Column:

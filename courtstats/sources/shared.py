@@ -10,14 +10,14 @@ FOLDER_SETTING = "spark.checkpoint.dir"
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names; a fresh one only in local mode."""
-    folder = spark.conf.get(FOLDER_SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(FOLDER_SETTING, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {FOLDER_SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="courtstats-")
-    spark.conf.set(FOLDER_SETTING, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="courtstats-"))
+    return context.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, name: str) -> str:
