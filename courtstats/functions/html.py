@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from courtstats.functions.text import strip_text
 
+# The whitespace that separates attributes, for use in brackets.
+SPACE = r" \t\n\r\f"
+
 
 def visible_html(html: Column) -> Column:
     """HTML without comments, scripts and styles, which hold no elements."""
@@ -29,13 +32,52 @@ def opening_tag(tag: str, css_class: str | None = None) -> str:
     """
     if css_class is None:
         return rf"(?is)<{tag}\b[^>]*+>"
-    name = re.escape(css_class)
-    # Possessive steps over whole attributes and names: no backtracking.
-    attributes = rf"(?is)<{tag}\s++(?:[^>\s]++\s++)*?class\s*+=\s*+"
     if " " in css_class:
-        return rf"{attributes}(?:\"{name}\"|'{name}')[^>]*+>"
-    names = r"[\"']\s*+(?:[^\"'>\s]++\s++)*?"
-    return rf"{attributes}{names}{name}(?=[\"'\s])[^>]*+>"
+        name = re.escape(css_class)
+        return rf"{_up_to_class(tag)}(?-i:\"{name}\"|'{name}')[^>]*+>"
+    return _up_to_class(tag) + _in_class_list(css_class)
+
+
+def _up_to_class(tag: str) -> str:
+    # Possessive steps over whole attributes: a tag that does not match is given
+    # up without going back over it.
+    others = rf"(?:(?!class[{SPACE}]*+=)[^>{SPACE}]++[{SPACE}]++)*+"
+    return rf"(?is)<{tag}[{SPACE}]++{others}class[{SPACE}]*+=[{SPACE}]*+"
+
+
+def _in_class_list(name: str) -> str:
+    before = rf"[\"'][{SPACE}]*+(?:[^\"'>{SPACE}]++[{SPACE}]++)*?"
+    return rf"(?-i:{before}{re.escape(name)}(?=[\"'{SPACE}]))[^>]*+>"
+
+
+def nested_texts(html: Column, tag: str, outer: str, middle: str, inner: str) -> Column:
+    """Texts of inner elements, by middle element, by outer element.
+
+    All three are of one kind and told apart by class. One pass over the page
+    keeps the texts with a mark for each level; the short rest is then split.
+    """
+    pattern = (
+        f"{_up_to_class(tag)}(?:{_in_class_list(outer)}|{_in_class_list(middle)}"
+        f"|{_in_class_list(inner)}.*?</{tag}[{SPACE}]*+>)"
+    )
+    marks = "\u0001\u0002\u0003"
+    marked = F.transform(
+        F.regexp_extract_all(html, F.lit(pattern), F.lit(0)),
+        lambda found: F.when(
+            F.contains(found, F.lit(inner)),
+            F.concat(F.lit(marks[2]), F.translate(text_of(found), marks, "")),
+        )
+        .when(F.contains(found, F.lit(outer)), F.lit(marks[0]))
+        .otherwise(F.lit(marks[1])),
+    )
+
+    def after(text: Column, mark: str) -> Column:
+        return F.filter(F.split(text, mark, -1), lambda part, i: i >= 1)
+
+    return F.transform(
+        after(F.array_join(marked, ""), marks[0]),
+        lambda g: F.transform(after(g, marks[1]), lambda row: after(row, marks[2])),
+    )
 
 
 def decode_entities(text: Column) -> Column:
@@ -115,39 +157,39 @@ def child_fragments(content: Column, tag: str = "div") -> Column:
     Opening and closing tags are counted; what follows the parent's own closing
     tag is left out.
     """
-    chunks = F.split(content, rf"(?i)(?=</?{tag}\b)", -1)
+    chunks = F.filter(
+        F.split(content, rf"(?i)<(?=/?{tag}\b)", -1), lambda chunk, i: i >= 1
+    )
     start = F.struct(
         F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kids")
     )
 
     def step(state: Column, chunk: Column) -> Column:
         depth, kids = state["depth"], state["kids"]
-        opens = chunk.rlike(rf"(?i)^<{tag}\b")
-        closes = chunk.rlike(rf"(?i)^</{tag}\b")
+        closes = chunk.startswith("/")
         last = F.size(kids)
         grown = F.concat(
             F.slice(kids, F.lit(1), F.greatest(last - 1, F.lit(0))),
-            F.array(F.concat(F.element_at(kids, -1), chunk)),
+            F.array(F.concat(F.element_at(kids, -1), F.lit("<"), chunk)),
         )
         return (
             F.when(depth < 0, state)
             .when(
-                opens & (depth == 0),
-                F.struct(
-                    F.lit(1).alias("depth"),
-                    F.concat(kids, F.array(chunk)).alias("kids"),
-                ),
+                closes & (depth == 0),
+                F.struct(F.lit(-1).alias("depth"), kids.alias("kids")),
             )
             .when(
-                opens,
-                F.struct((depth + 1).alias("depth"), grown.alias("kids")),
+                closes,
+                F.struct((depth - 1).alias("depth"), grown.alias("kids")),
             )
             .when(
-                closes & (depth > 0),
-                F.struct((depth - 1).alias("depth"), grown.alias("kids")),
+                depth == 0,
+                F.struct(
+                    F.lit(1).alias("depth"),
+                    F.concat(kids, F.array(F.concat(F.lit("<"), chunk))).alias("kids"),
+                ),
             )
-            .when(closes, F.struct(F.lit(-1).alias("depth"), kids.alias("kids")))
-            .otherwise(state)
+            .otherwise(F.struct((depth + 1).alias("depth"), grown.alias("kids")))
         )
 
     return F.aggregate(chunks, start, step, lambda state: state["kids"])

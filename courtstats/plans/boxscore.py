@@ -14,6 +14,7 @@ from courtstats.functions.html import (
     child_fragments,
     element_fragments,
     element_texts,
+    nested_texts,
     opening_tag,
     parts_after,
     text_of,
@@ -32,20 +33,10 @@ from courtstats.operators.reshape import home_away_roles
 
 def stat_groups(html: Column) -> Column:
     """Groups of rows of cell texts; rows without cells are left out."""
-    group = opening_tag("div", fixed.GROUP_CLASS)
-    row = opening_tag("div", fixed.ROW_CLASS)
-    return F.transform(
-        parts_after(html, group),
-        lambda g: F.filter(
-            F.transform(
-                parts_after(g, row),
-                lambda r: F.transform(
-                    element_fragments(r, "div", fixed.CELL_CLASS), text_of
-                ),
-            ),
-            lambda cells: F.size(cells) > 0,
-        ),
+    groups = nested_texts(
+        html, "div", fixed.GROUP_CLASS, fixed.ROW_CLASS, fixed.CELL_CLASS
     )
+    return F.transform(groups, lambda g: F.filter(g, lambda cells: F.size(cells) > 0))
 
 
 def stat_headings(html: Column) -> Column:
