@@ -35,7 +35,7 @@ def opening_tag(tag: str, css_class: str | None = None) -> str:
     if " " in css_class:
         name = re.escape(css_class)
         return rf"{_up_to_class(tag)}(?-i:\"{name}\"|'{name}')[^>]*+>"
-    return _up_to_class(tag) + _in_class_list(css_class)
+    return _with_class(tag, _class_item(css_class))
 
 
 def _up_to_class(tag: str) -> str:
@@ -45,9 +45,14 @@ def _up_to_class(tag: str) -> str:
     return rf"(?is)<{tag}[{SPACE}]++{others}class[{SPACE}]*+=[{SPACE}]*+"
 
 
-def _in_class_list(name: str) -> str:
-    before = rf"[\"'][{SPACE}]*+(?:[^\"'>{SPACE}]++[{SPACE}]++)*?"
-    return rf"(?-i:{before}{re.escape(name)}(?=[\"'{SPACE}]))[^>]*+>"
+def _with_class(tag: str, *items: str) -> str:
+    """One of the items in the class list, tried once per class name."""
+    others = rf"[\"'][{SPACE}]*+(?:[^\"'>{SPACE}]++[{SPACE}]++)*?"
+    return rf"{_up_to_class(tag)}(?-i:{others}(?:{'|'.join(items)}))"
+
+
+def _class_item(name: str, then: str = "") -> str:
+    return rf"{re.escape(name)}(?=[\"'{SPACE}])[^>]*+>{then}"
 
 
 def nested_texts(html: Column, tag: str, outer: str, middle: str, inner: str) -> Column:
@@ -56,18 +61,18 @@ def nested_texts(html: Column, tag: str, outer: str, middle: str, inner: str) ->
     All three are of one kind and told apart by class. One pass over the page
     keeps the texts with a mark for each level; the short rest is then split.
     """
-    pattern = (
-        f"{_up_to_class(tag)}(?:{_in_class_list(outer)}|{_in_class_list(middle)}"
-        f"|{_in_class_list(inner)}.*?</{tag}[{SPACE}]*+>)"
+    to_end = rf".*?(?i:</{tag}[{SPACE}]*+>)"
+    pattern = _with_class(
+        tag, _class_item(outer), _class_item(middle), _class_item(inner, to_end)
     )
     marks = "\u0001\u0002\u0003"
     marked = F.transform(
         F.regexp_extract_all(html, F.lit(pattern), F.lit(0)),
         lambda found: F.when(
-            F.contains(found, F.lit(inner)),
+            F.contains(found, F.lit("</")),  # the only kind taken with its content
             F.concat(F.lit(marks[2]), F.translate(text_of(found), marks, "")),
         )
-        .when(F.contains(found, F.lit(outer)), F.lit(marks[0]))
+        .when(found.rlike(opening_tag(tag, outer)), F.lit(marks[0]))
         .otherwise(F.lit(marks[1])),
     )
 
@@ -109,8 +114,12 @@ def decode_entities(text: Column) -> Column:
 
 def text_of(fragment: Column) -> Column:
     """Text of an HTML fragment: tags removed, references resolved."""
-    text = decode_entities(F.regexp_replace(fragment, r"(?s)<[^>]*>", ""))
-    return F.when(fragment.rlike("[<&]"), text).otherwise(fragment)
+    text = F.regexp_replace(fragment, r"<[^>]*+>", "")
+    return (
+        F.when(~fragment.rlike("[<&]"), fragment)
+        .when(~F.contains(fragment, F.lit("&")), text)
+        .otherwise(decode_entities(text))
+    )
 
 
 def element_fragments(html: Column, tag: str, css_class: str | None = None) -> Column:
@@ -146,6 +155,11 @@ def attribute_values(
     return F.filter(values, lambda v: v.isNotNull())
 
 
+def part_before(html: Column, opening: str) -> Column:
+    """What comes before the first opening tag of a kind, or everything."""
+    return F.regexp_extract(html, rf"(?s)^(.*?)(?:{opening}|\z)", 1)
+
+
 def parts_after(html: Column, opening: str) -> Column:
     """What follows each opening tag, up to the next one of the same kind."""
     return F.filter(F.split(html, opening, -1), lambda part, i: i >= 1)

@@ -46,11 +46,11 @@ def previous_round(round_number: Column) -> Column:
     return F.when(before == 0, F.lit(1)).otherwise(before)
 
 
-def season_name(start_year: Column) -> Column:
+def season_name(start_year: Column, separator: str = "_") -> Column:
     """2022 -> ``22_23`` without zero padding."""
     first = (start_year.cast("int") - 2000).cast("string")
     second = (start_year.cast("int") - 1999).cast("string")
-    return F.concat(first, F.lit("_"), second)
+    return F.concat(first, F.lit(separator), second)
 
 
 def season_site_label(start_year: Column) -> Column:

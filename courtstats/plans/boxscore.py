@@ -16,6 +16,7 @@ from courtstats.functions.html import (
     element_texts,
     nested_texts,
     opening_tag,
+    part_before,
     parts_after,
     text_of,
     visible_html,
@@ -72,7 +73,7 @@ def name_rows(html: Column) -> Column:
     return F.transform(
         containers,
         lambda c: F.transform(
-            after_leading_rows(child_fragments(F.split(c, group, 2)[0])),
+            after_leading_rows(child_fragments(part_before(c, group))),
             lambda r: bold_text(r),
         ),
     )

@@ -9,6 +9,12 @@ from courtstats.functions.text import first_match, starts_with_pattern
 from courtstats.operators.reshape import ordered_distinct
 
 
+def season_game_link(start_year: int) -> str:
+    """The game link pattern of one season."""
+    label = f"{start_year}-{(start_year + 1) % 100:02d}"
+    return rf"/euroleague/game-center/{label}/[\w-]+/E{start_year}/[\d]{{1,3}}/"
+
+
 def page_links(pages: DataFrame, css_class: str | None = None) -> DataFrame:
     """All link targets with page and position."""
     hrefs = attribute_values(visible_html(F.col("html")), "a", "href", css_class)

@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 
 from courtstats import fixed
 from courtstats.plans.boxscore import boxscore, game_info, rejected_sides
-from courtstats.plans.links import collect_links, page_links, player_links
+from courtstats.plans.links import collect_links, page_links, player_links, season_game_link
 from courtstats.sources.tables import with_page_season
 from tests.markup import INFO, page, side, stats
 
@@ -108,6 +108,8 @@ def test_links(spark):
     assert page_links(df).count() == 8
     found = {r.href: (r.page_id, r.position) for r in collect_links(df).collect()}
     base = "/euroleague/game-center/2022-23/x-y/E2022/"
+    assert collect_links(df, season_game_link(2022)).count() == 4
+    assert collect_links(df, season_game_link(2009)).count() == 0
     assert found == {
         base + "7/": (2, 0), base + "7/#tab": (2, 2), base + "9/": (1, 0), base + "9/#tab": (1, 2)
     }

@@ -82,6 +82,7 @@ def test_rounds_and_seasons(one):
     assert [one(r, values.previous_round, "smallint") for r in (1, 2, 34)] == [1, 1, 33]
     assert one(2022, values.season_name, "int") == "22_23"
     assert one(2005, values.season_name, "int") == "5_6"
+    assert one(2022, lambda c: values.season_name(c, "-"), "int") == "22-23"
     assert one(2022, values.season_site_label, "int") == "2022-23"
     assert one(2009, values.season_site_label, "int") == "2009-10"
 
@@ -139,3 +140,19 @@ def test_child_fragments_counts_direct_children_only(one):
     assert kids[0].startswith("<div>1<div>1a") and kids[1].startswith('<div class="x">2')
     assert "3a" in kids[2] and "after" not in "".join(kids)
     assert one("no children</div><div>x</div>", html.child_fragments) == []
+
+
+def test_part_before(one):
+    opening = html.opening_tag("div", "g")
+    assert one('a\n<div>b<div class="x g">c<div class="g">d', lambda c: html.part_before(c, opening)) == "a\n<div>b"
+    assert one("no group\n", lambda c: html.part_before(c, opening)) == "no group\n"
+
+
+def test_nested_texts(one):
+    raw = (
+        '<div class="c">lost</div><div class="g"><div class="r"></div><DIV class="a r b">'
+        '<div class="c">1</div><div class="c k"><b>2</b>&amp;\x02</DIV ></div></div>'
+        '<div class="g r2"><div class="r"><div class="cc">no</div><div class="c"></div></div></div>'
+    )
+    got = one(raw, lambda c: html.nested_texts(c, "div", "g", "r", "c"))
+    assert got == [[[], ["1", "2&"]], [[""]]]
