@@ -1,6 +1,7 @@
 """The registered queries of this subpackage, with the SQL that checks them."""
 
 from courtstats.llm.minhash import near_duplicates
+from courtstats.llm.suffix_dedup import repeat_report
 from courtstats.llm.tables import table
 
 QUERIES = {}
@@ -24,3 +25,9 @@ def op4(spark, sf_dir):
     return near_duplicates(docs, size=4).select(
         "doc_id", "n_shingles", "component_id", "kept"
     )
+
+
+@query("op1_suffix_array_dedup")
+def op1(spark, sf_dir):
+    """Bytes of the documents that strings of 400 bytes repeat."""
+    return repeat_report(table(spark, sf_dir, "documents", "doc_id", "text"))

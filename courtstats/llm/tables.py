@@ -21,3 +21,15 @@ def with_partitions(df: DataFrame, *keys, least: int = 1) -> DataFrame:
     """Deal rows over the session's shuffle partitions."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(max(n, least), *keys)
+
+
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """``text_key, text`` once for each text (null: empty).
+
+    Copies are dropped in the reading tasks already, so a text that fills a third
+    of the table does not pile up in one task.
+    """
+    text = F.coalesce("text", F.lit("")).alias("text")
+    return docs.select(text_key().alias("text_key"), text).groupBy("text_key").agg(
+        F.first("text").alias("text")
+    )
