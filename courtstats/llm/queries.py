@@ -3,6 +3,7 @@
 from courtstats.llm.minhash import near_duplicates
 from courtstats.llm.suffix_dedup import repeat_report
 from courtstats.llm.tables import table
+from courtstats.llm.token_counts import token_counts
 
 QUERIES = {}
 ORACLES = {}
@@ -31,3 +32,9 @@ def op4(spark, sf_dir):
 def op1(spark, sf_dir):
     """Bytes of the documents that strings of 400 bytes repeat."""
     return repeat_report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op9_token_counts")
+def op9(spark, sf_dir):
+    """Token counts of the documents, and which are over 512."""
+    return token_counts(table(spark, sf_dir, "documents", "doc_id", "text"))
