@@ -1,6 +1,7 @@
 """The registered queries of this subpackage, with the SQL that checks them."""
 
 from courtstats.llm.minhash import near_duplicates
+from courtstats.llm.packing import pack
 from courtstats.llm.suffix_dedup import repeat_report
 from courtstats.llm.tables import table
 from courtstats.llm.token_counts import token_counts
@@ -38,3 +39,9 @@ def op1(spark, sf_dir):
 def op9(spark, sf_dir):
     """Token counts of the documents, and which are over 512."""
     return token_counts(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op5_packing")
+def op5(spark, sf_dir):
+    """The documents packed into sequences of 1024 tokens."""
+    return pack(table(spark, sf_dir, "documents", "doc_id", "text"))
