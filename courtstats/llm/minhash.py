@@ -6,10 +6,12 @@ further on, so all coordinates of a shingle are one slice of one table. Bands of
 coordinates collect candidates; every link is confirmed on the full shingle sets.
 
 Documents with equal shingle sets form one class and take part once. In a bucket
-the class of the smallest number is compared with all others. Classes of a bucket
-that are still apart are compared in further rounds with more centres each, until
-every pair of a bucket is linked, found unlike, or joined through others. What
-pairs of a bucket are compared is never capped.
+the class of the smallest number is compared with all others. In buckets with
+classes still apart, shingles that only one of these classes has are counted: they
+bound what a pair can share, and rule out most classes or pairs for certain. The
+rest is compared in further rounds, the classes with the fewest shingles of their
+own as centres first, until every pair of a bucket is linked, ruled out, found
+unlike, or joined through others. What pairs are compared is never capped.
 
 Bands decide by chance: a pair at the threshold shares no band with probability
 (1 - 0.8^6)^40, about 5 in a million; more alike pairs less.
@@ -190,41 +192,80 @@ def _linked(buckets, texts, size, percent):
     )
     judged = stage(_judge(pairs, texts, size, percent), "judged")
     labels = components(judged.where("linked"))
-    open_, used = buckets.drop("centre"), 1
+    remaining, used = None, 0
     while True:
-        placed = open_.join(labels, "node", "left").withColumn(
+        placed = buckets.drop("centre") if remaining is None else remaining
+        placed = placed.join(labels, "node", "left").withColumn(
             "label", F.coalesce("label", "node")
         )
         apart = placed.groupBy("band").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")
+            F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("held")
         )
-        apart = apart.where((F.col("low") < F.col("high")) & (F.col("n") > used + 1))
+        apart = apart.where((F.col("low") < F.col("high")) & (F.col("held") > used))
         open_ = stage(placed.join(apart.select("band"), "band", "left_semi"), "open")
         if open_.isEmpty():
             return labels
-        used *= MORE_CENTRES
-        first = Window.partitionBy("band").orderBy("node")
+        if used == 0:
+            open_ = stage(_can_link(open_, texts, size, percent), "open")
+        used = max(1, used * MORE_CENTRES)
+        cleanest = Window.partitionBy("band").orderBy((F.col("common") / F.col("n")).desc(), "node")
         centres = (
-            open_.withColumn("rank", F.row_number().over(first))
+            open_.withColumn("rank", F.row_number().over(cleanest))
             .where(F.col("rank") <= used)
             .select(
                 "band",
-                F.col("node").alias("a"),
-                F.col("label").alias("la"),
+                F.col("node").alias("centre"),
+                F.col("label").alias("own"),
                 F.col("n").alias("m"),
+                F.col("common").alias("c"),
             )
         )
         pairs = (
             open_.join(centres, "band")
-            .where(f"a < node and la <> label and {ratio}")
-            .select("a", F.col("node").alias("b"))
+            .where(f"own <> label and {ratio}")
+            .where(f"(100 + {percent}) * least(common, c) >= {percent} * (n + m)")
+            .select(
+                F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")
+            )
             .distinct()
             .join(judged.select("a", "b"), ["a", "b"], "left_anti")
         )
-        more = stage(_judge(pairs, texts, size, percent), "judged")
-        judged = judged.unionByName(more)
+        judged = judged.unionByName(stage(_judge(pairs, texts, size, percent), "judged"))
         labels = components(judged.where("linked"))
-        open_ = open_.drop("label")
+        remaining = open_.drop("label")
+
+
+def _can_link(open_, texts, size, percent):
+    """Add ``common``, the shingles of a class that any other open class has.
+
+    A class of which too many are its own cannot be linked with anything; it leaves
+    the buckets. For the others ``common`` bounds what a pair can share.
+    """
+    def listed(batches):
+        for batch in batches:
+            sets = [own.view(np.int64) for own in _sets(batch.column(1), size)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"]
+            )
+
+    own = (
+        texts.join(open_.select("node").distinct(), "node", "left_semi")
+        .select("node", "text")
+        .mapInArrow(listed, "node bigint, shingles array<bigint>")
+        .select("node", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.min("node").alias("node"), F.max("node").alias("other"))
+        .where("node = other")
+        .groupBy("node")
+        .agg(F.count("*").alias("alone"))
+    )
+    common = F.col("n") - F.coalesce("alone", F.lit(0))
+    return (
+        open_.join(own, "node", "left")
+        .withColumn("common", common)
+        .where(f"100 * common >= {percent} * n")
+        .drop("alone")
+    )
 
 
 def _judge(pairs, texts, size, percent):
