@@ -1,5 +1,6 @@
 """The registered queries of this subpackage, with the SQL that checks them."""
 
+from courtstats.llm.decontaminate import contamination
 from courtstats.llm.minhash import near_duplicates
 from courtstats.llm.packing import pack
 from courtstats.llm.suffix_dedup import repeat_report
@@ -45,3 +46,10 @@ def op9(spark, sf_dir):
 def op5(spark, sf_dir):
     """The documents packed into sequences of 1024 tokens."""
     return pack(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op8_benchmark_decontamination")
+def op8(spark, sf_dir):
+    """Documents that hold words of a benchmark item."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
