@@ -6,6 +6,7 @@ from courtstats.llm.packing import pack
 from courtstats.llm.suffix_dedup import repeat_report
 from courtstats.llm.tables import table
 from courtstats.llm.token_counts import token_counts
+from courtstats.llm.warc import archived
 
 QUERIES = {}
 ORACLES = {}
@@ -53,3 +54,33 @@ def op8(spark, sf_dir):
     """Documents that hold words of a benchmark item."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@query(
+    "op10_warc_archive",
+    """
+    with p as (
+        select page_id, coalesce(html, '') as html from pages
+    ), d as (
+        select page_id, html, sha1(html) as hex,
+            max(page_id) over (partition by sha256(html)) as last
+        from p
+    ), v as (
+        select *, list_transform(range(0, 8),
+            lambda i: ('0x' || hex[5 * i + 1 : 5 * i + 5])::bigint) as groups
+        from d
+    )
+    select page_id,
+        strlen(html)::bigint as payload_bytes,
+        list_aggregate(list_transform(range(0, 32),
+            lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                (groups[i // 4 + 1] >> (15 - 5 * (i % 4))) % 32 + 1, 1)),
+            'string_agg', '') as payload_digest,
+        case when page_id = last then 'response' else 'revisit' end as record_type,
+        case when page_id <> last then last end as refers_to
+    from v
+    """,
+)
+def op10(spark, sf_dir):
+    """Records of the pages, archived with each payload once and read back."""
+    return archived(table(spark, sf_dir, "pages", "page_id", "url", "html"), least_bytes=0)
