@@ -29,7 +29,7 @@ from courtstats.sources.shared import stage
 LENGTH = 400
 GRAM = 8
 #: A shard is worked on in parts of about this many bytes, whole shares each.
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
 #: A share with more bytes of different fragments is cut into single windows.
 HOT_BYTES = 16 << 20
 _END = 254
@@ -349,7 +349,7 @@ def _repeated(fragments, length):
     size = different.agg(F.sum(F.octet_length("held"))).first()[0] or 0
     most = int(fragments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        rows.repartition(max(most, -(-size // (8 * PART_BYTES))), "share")
+        rows.repartition(max(most, -(-size // (16 * PART_BYTES))), "share")
         .sortWithinPartitions("share")
         .select("share", "fragment", "skip", "held", "owned", "weight")
         .mapInArrow(_sorted_parts(length), "fragment binary, runs array<struct<a: bigint, b: bigint>>")
