@@ -5,13 +5,12 @@ its places. Coordinate k of a signature reads the second permutation k places
 further on, so all coordinates of a shingle are one slice of one table. Bands of
 coordinates collect candidates; every link is confirmed on the full shingle sets.
 
-Documents with equal shingle sets form one class and take part once. In a bucket
-the class of the smallest number is compared with all others. In buckets with
-classes still apart, shingles that only one of these classes has are counted: they
-bound what a pair can share, and rule out most classes or pairs for certain. The
-rest is compared in further rounds, the classes with the fewest shingles of their
-own as centres first, until every pair of a bucket is linked, ruled out, found
-unlike, or joined through others. What pairs are compared is never capped.
+Documents with equal shingle sets form one class and take part once. Shingles that
+only one candidate class has bound what a pair can share, and rule out many classes
+and pairs for certain. In each bucket the class with the fewest shingles of its own
+is compared with all others. Where classes of a bucket are still apart after that,
+all their pairs that are not ruled out are compared, each in the first band they
+share. What pairs are compared is never capped.
 
 Bands decide by chance: a pair at the threshold shares no band with probability
 (1 - 0.8^6)^40, about 5 in a million; more alike pairs less.
@@ -27,13 +26,11 @@ from xxhash import xxh3_128_digest
 
 from courtstats.llm.arrays import mix, pieces, shingle_hashes, word_hashes
 from courtstats.llm.components import components
-from courtstats.llm.tables import text_key
+from courtstats.llm.tables import distinct_texts, text_key
 from courtstats.sources.shared import stage
 
 ROWS, BANDS = 6, 40
 UNIVERSE = 1 << 22
-#: Each round compares this many times as many centres of a bucket as the last.
-MORE_CENTRES = 4
 
 
 @cache
@@ -145,22 +142,34 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         .select(F.monotonically_increasing_id().alias("node"), "*"),
         "classes",
     )
-    members = classes.select(F.explode("bands").alias("band"), "node", "n")
-    shared = members.groupBy("band").agg(
-        F.min("node").alias("centre"), F.max("node").alias("other")
-    ).where("centre <> other")
-    buckets = stage(members.join(shared.drop("other"), "band"), "buckets")
+    members = classes.select("node", "n", "bands", F.posexplode("bands").alias("slot", "band"))
+    shared = (
+        members.groupBy("band")
+        .agg(F.min("node").alias("low"), F.max("node").alias("high"))
+        .where("low < high")
+        .select("band")
+    )
+    candidates = stage(
+        members.select("band", "node").join(shared, "band").select("node").distinct(), "candidates"
+    )
     texts = stage(
-        docs.select("text", text_key().alias("text_key"))
-        .join(
-            classes.join(buckets.select("node").distinct(), "node", "left_semi")
-            .select("node", "text_key"),
-            "text_key",
-        )
-        .groupBy("node")
-        .agg(F.first("text").alias("text")),
+        distinct_texts(docs)
+        .join(classes.join(candidates, "node", "left_semi").select("node", "text_key"), "text_key")
+        .select("node", "text"),
         "texts",
     )
+    able = _with_common(classes.join(candidates, "node", "left_semi"), texts, size, percent)
+    able = stage(
+        able.select("node", "n", "common", "bands", F.posexplode("bands").alias("slot", "band")),
+        "members",
+    )
+    again = (
+        able.groupBy("band")
+        .agg(F.min("node").alias("low"), F.max("node").alias("high"))
+        .where("low < high")
+        .select("band")
+    )
+    buckets = stage(able.join(again, "band", "left_semi"), "buckets")
     labels = _linked(buckets, texts, size, percent)
     found = classes.select("node", "class_key", "least").join(labels, "node", "left")
     found = found.withColumn("label", F.coalesce("label", "node"))
@@ -180,67 +189,65 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 def _linked(buckets, texts, size, percent):
     """Labels of the nodes that have links."""
-    ratio = f"{percent} * greatest(n, m) <= 100 * least(n, m)"
-    centres = buckets.where("node = centre").select(
-        "band", F.col("node").alias("a"), F.col("n").alias("m")
+    possible = (
+        f"{percent} * greatest(n, m) <= 100 * least(n, m)"
+        f" and (100 + {percent}) * least(common, c) >= {percent} * (n + m)"
+    )
+    other = buckets.select(
+        "band",
+        F.col("node").alias("centre"),
+        F.col("n").alias("m"),
+        F.col("common").alias("c"),
+        F.col("bands").alias("others"),
     )
+    cleanest = Window.partitionBy("band").orderBy((F.col("c") / F.col("m")).desc(), "centre")
+    centres = other.withColumn("rank", F.row_number().over(cleanest)).where("rank = 1")
+    pair = [F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")]
     pairs = (
-        buckets.join(centres, "band")
-        .where(f"a <> node and {ratio}")
-        .select("a", F.col("node").alias("b"))
+        buckets.join(centres.drop("others"), "band")
+        .where(f"centre <> node and {possible}")
+        .select(*pair)
         .distinct()
     )
     judged = stage(_judge(pairs, texts, size, percent), "judged")
     labels = components(judged.where("linked"))
-    remaining, used = None, 0
-    while True:
-        placed = buckets.drop("centre") if remaining is None else remaining
-        placed = placed.join(labels, "node", "left").withColumn(
-            "label", F.coalesce("label", "node")
-        )
-        apart = placed.groupBy("band").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("held")
-        )
-        apart = apart.where((F.col("low") < F.col("high")) & (F.col("held") > used))
-        open_ = stage(placed.join(apart.select("band"), "band", "left_semi"), "open")
-        if open_.isEmpty():
-            return labels
-        if used == 0:
-            open_ = stage(_can_link(open_, texts, size, percent), "open")
-        used = max(1, used * MORE_CENTRES)
-        cleanest = Window.partitionBy("band").orderBy((F.col("common") / F.col("n")).desc(), "node")
-        centres = (
-            open_.withColumn("rank", F.row_number().over(cleanest))
-            .where(F.col("rank") <= used)
-            .select(
-                "band",
-                F.col("node").alias("centre"),
-                F.col("label").alias("own"),
-                F.col("n").alias("m"),
-                F.col("common").alias("c"),
-            )
-        )
-        pairs = (
-            open_.join(centres, "band")
-            .where(f"own <> label and {ratio}")
-            .where(f"(100 + {percent}) * least(common, c) >= {percent} * (n + m)")
-            .select(
-                F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")
-            )
-            .distinct()
-            .join(judged.select("a", "b"), ["a", "b"], "left_anti")
-        )
-        judged = judged.unionByName(stage(_judge(pairs, texts, size, percent), "judged"))
-        labels = components(judged.where("linked"))
-        remaining = open_.drop("label")
+    placed = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    apart = (
+        placed.groupBy("band")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low < high")
+    )
+    open_ = stage(placed.join(apart.select("band"), "band", "left_semi"), "open")
+    other = open_.select(
+        "band",
+        F.col("node").alias("centre"),
+        F.col("label").alias("own"),
+        F.col("n").alias("m"),
+        F.col("common").alias("c"),
+        F.col("bands").alias("others"),
+    )
+    # A pair that shares several bands is taken in the first of them.
+    first = "array_position(zip_with(bands, others, (x, y) -> x = y), true) = slot + 1"
+    same_band = open_["band"] == other["band"]
+    apart = F.expr(f"centre < node and own <> label and {possible} and {first}")
+    rest = (
+        open_.join(other, same_band & apart)
+        .select(*pair)
+        .join(judged.select("a", "b"), ["a", "b"], "left_anti")
+    )
+    more = stage(_judge(rest, texts, size, percent), "judged").where("linked")
+    if more.isEmpty():
+        return labels
+    return components(judged.where("linked").unionByName(more))
 
 
-def _can_link(open_, texts, size, percent):
-    """Add ``common``, the shingles of a class that any other open class has.
+def _with_common(members, texts, size, percent):
+    """Add ``common``, the shingles of a class that any other candidate has.
 
     A class of which too many are its own cannot be linked with anything; it leaves
     the buckets. For the others ``common`` bounds what a pair can share.
     """
+
     def listed(batches):
         for batch in batches:
             sets = [own.view(np.int64) for own in _sets(batch.column(1), size)]
@@ -249,9 +256,7 @@ def _can_link(open_, texts, size, percent):
             )
 
     own = (
-        texts.join(open_.select("node").distinct(), "node", "left_semi")
-        .select("node", "text")
-        .mapInArrow(listed, "node bigint, shingles array<bigint>")
+        texts.mapInArrow(listed, "node bigint, shingles array<bigint>")
         .select("node", F.explode("shingles").alias("shingle"))
         .groupBy("shingle")
         .agg(F.min("node").alias("node"), F.max("node").alias("other"))
@@ -259,10 +264,9 @@ def _can_link(open_, texts, size, percent):
         .groupBy("node")
         .agg(F.count("*").alias("alone"))
     )
-    common = F.col("n") - F.coalesce("alone", F.lit(0))
     return (
-        open_.join(own, "node", "left")
-        .withColumn("common", common)
+        members.join(own, "node", "left")
+        .withColumn("common", F.col("n") - F.coalesce("alone", F.lit(0)))
         .where(f"100 * common >= {percent} * n")
         .drop("alone")
     )

@@ -3,9 +3,11 @@
 from courtstats.llm.decontaminate import contamination
 from courtstats.llm.minhash import near_duplicates
 from courtstats.llm.packing import pack
+from courtstats.llm.quality import LEAST_WORDS, MOST_REPEATED, RULES, STOP_WORDS, quality
 from courtstats.llm.suffix_dedup import repeat_report
 from courtstats.llm.tables import table
 from courtstats.llm.token_counts import token_counts
+from courtstats.llm.url_filter import filter_urls
 from courtstats.llm.warc import archived
 
 QUERIES = {}
@@ -84,3 +86,100 @@ def op8(spark, sf_dir):
 def op10(spark, sf_dir):
     """Records of the pages, archived with each payload once and read back."""
     return archived(table(spark, sf_dir, "pages", "page_id", "url", "html"), least_bytes=0)
+
+
+def _rules_sql():
+    parts = []
+    for r in RULES:
+        if r.least is not None:
+            parts.append(f"100 * {r.part} >= {r.least} * {r.whole}")
+        if r.most is not None:
+            parts.append(f"100 * {r.part} <= {r.most} * {r.whole}")
+    return " and ".join(parts)
+
+
+_STOP_SQL = ", ".join(f"'{w}'" for w in STOP_WORDS)
+
+
+@query(
+    "op6_quality_rules",
+    rf"""
+    with t as (
+        select doc_id, coalesce(text, '') as text from documents
+    ), w as (
+        select doc_id, text,
+            list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') as words,
+            list_filter(string_split(text, chr(10)),
+                lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+        from t
+    ), triples as (
+        select doc_id, i, words[i : i + 2] as triple
+        from (select doc_id, words, unnest(range(1, len(words) - 1)) as i from w)
+    ), again as (
+        select doc_id, i from triples
+        qualify count(*) over (partition by doc_id, triple) > 1
+    ), covered as (
+        select doc_id, count(distinct i + k) as n
+        from again, range(0, 3) as r(k) group by doc_id
+    ), facts as (
+        select w.doc_id, len(words) as n_words,
+            coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::bigint as word_chars,
+            length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols,
+            (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+            coalesce(covered.n, 0) as n_repeat_words,
+            len(lines) as n_lines,
+            len(list_filter(words, lambda x: lower(x) in ({_STOP_SQL}))) as n_stop_words
+        from w left join covered on w.doc_id = covered.doc_id
+    ), judged as (
+        select *, n_words < {LEAST_WORDS}
+            or 100 * n_repeat_words > {MOST_REPEATED} * n_words as base_failed
+        from facts
+    )
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+        base_failed, not base_failed and {_rules_sql()} as kept
+    from judged
+    """,
+)
+def op6(spark, sf_dir):
+    """The documents under the quality rules."""
+    return quality(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query(
+    "op7_url_filters",
+    f"""
+    with rules(rule_host, rule_path, rule_verdict) as (values {", ".join(map(str, URL_RULES))}),
+    r as (
+        select page_id, case when instr(url, '://') > 0
+            then substr(url, instr(url, '://') + 3) else '' end as rest
+        from pages
+    ), p as (
+        select page_id, rest,
+            translate(regexp_extract(rest, '^[^/?#]*'),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+            regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+        from r
+    ), m as (
+        select page_id, max_by(rule_host || rule_path, length(rule_host || rule_path)) as rule,
+            max_by(rule_verdict, length(rule_host || rule_path)) as verdict
+        from p join rules on (host = rule_host or suffix(host, '.' || rule_host))
+            and starts_with(path, rule_path)
+        group by page_id
+    )
+    select p.page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
+    from p left join m on p.page_id = m.page_id
+    """,
+)
+def op7(spark, sf_dir):
+    """The pages under five URL rules."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return filter_urls(table(spark, sf_dir, "pages", "page_id", "url"), rules)
