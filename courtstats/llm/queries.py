@@ -7,6 +7,7 @@ from courtstats.llm.quality import LEAST_WORDS, MOST_REPEATED, RULES, STOP_WORDS
 from courtstats.llm.suffix_dedup import repeat_report
 from courtstats.llm.tables import table
 from courtstats.llm.token_counts import token_counts
+from courtstats.llm.toxicity import score_texts
 from courtstats.llm.url_filter import filter_urls
 from courtstats.llm.warc import archived
 
@@ -183,3 +184,10 @@ def op7(spark, sf_dir):
     """The pages under five URL rules."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return filter_urls(table(spark, sf_dir, "pages", "page_id", "url"), rules)
+
+
+@query("op3_toxicity")
+def op3(spark, sf_dir):
+    """Toxicity scores of the documents."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return score_texts(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
