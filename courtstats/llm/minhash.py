@@ -6,8 +6,8 @@ further on, so all coordinates of a shingle are one slice of one table. Bands of
 coordinates collect candidates; every link is confirmed on the full shingle sets.
 
 Documents with equal shingle sets form one class and take part once. Shingles that
-only one candidate class has bound what a pair can share, and rule out many classes
-and pairs for certain. In each bucket the class with the fewest shingles of its own
+only one candidate class has, and counts of shingles in bins, bound what a pair can
+share and rule out many classes and pairs for certain. In each bucket the class with the fewest shingles of its own
 is compared with all others. Where classes of a bucket are still apart after that,
 all their pairs that are not ruled out are compared, each in the first band they
 share. What pairs are compared is never capped.
@@ -31,6 +31,8 @@ from courtstats.sources.shared import stage
 
 ROWS, BANDS = 6, 40
 UNIVERSE = 1 << 22
+#: Bins over which the shingles of a set are counted.
+BINS = 128
 
 
 @cache
@@ -72,11 +74,13 @@ def _sets(column, size):
 def _signed(size):
     def run(batches):
         for batch in batches:
-            keys, counts, banded = [], [], []
+            keys, counts, banded, spread = [], [], [], []
             for own in _sets(batch.column(1), size):
                 counts.append(len(own))
                 keys.append(xxh3_128_digest(own.tobytes()) if len(own) else None)
                 banded.append(bands(signature(own)) if len(own) else None)
+                bins = (own & np.uint64(BINS - 1)).astype(np.int64)
+                spread.append(np.bincount(bins, minlength=BINS) if len(own) else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -84,8 +88,9 @@ def _signed(size):
                     pa.array(keys, pa.binary()),
                     pa.array(counts, pa.int64()),
                     pa.array(banded, pa.list_(pa.int64())),
+                    pa.array(spread, pa.list_(pa.int32())),
                 ],
-                ["doc_id", "text_key", "class_key", "n_shingles", "bands"],
+                ["doc_id", "text_key", "class_key", "n_shingles", "bands", "spread"],
             )
 
     return run
@@ -126,7 +131,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         docs.select("doc_id", "text", text_key().alias("k")).mapInArrow(
             _signed(size),
             "doc_id bigint, text_key binary, class_key binary, n_shingles bigint,"
-            " bands array<bigint>",
+            " bands array<bigint>, spread array<int>",
         ),
         "signed",
     )
@@ -138,6 +143,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
             F.min("text_key").alias("text_key"),
             F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
+            F.first("spread").alias("spread"),
         )
         .select(F.monotonically_increasing_id().alias("node"), "*"),
         "classes",
@@ -160,7 +166,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     )
     able = _with_common(classes.join(candidates, "node", "left_semi"), texts, size, percent)
     able = stage(
-        able.select("node", "n", "common", "bands", F.posexplode("bands").alias("slot", "band")),
+        able.select("node", "n", "common", F.posexplode("bands").alias("slot", "band")),
         "members",
     )
     again = (
@@ -170,7 +176,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         .select("band")
     )
     buckets = stage(able.join(again, "band", "left_semi"), "buckets")
-    labels = _linked(buckets, texts, size, percent)
+    labels = _linked(buckets, classes, texts, size, percent)
     found = classes.select("node", "class_key", "least").join(labels, "node", "left")
     found = found.withColumn("label", F.coalesce("label", "node"))
     lowest = found.groupBy("label").agg(F.min("least").alias("lowest"))
@@ -178,7 +184,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     component = F.when(F.col("class_key").isNull(), F.col("doc_id")).otherwise(
         F.col("lowest")
     )
-    return signed.drop("bands").join(placed, "class_key", "left").select(
+    return signed.drop("bands", "spread").join(placed, "class_key", "left").select(
         "doc_id",
         "text_key",
         "n_shingles",
@@ -187,7 +193,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     )
 
 
-def _linked(buckets, texts, size, percent):
+def _linked(buckets, classes, texts, size, percent):
     """Labels of the nodes that have links."""
     possible = (
         f"{percent} * greatest(n, m) <= 100 * least(n, m)"
@@ -198,13 +204,12 @@ def _linked(buckets, texts, size, percent):
         F.col("node").alias("centre"),
         F.col("n").alias("m"),
         F.col("common").alias("c"),
-        F.col("bands").alias("others"),
     )
     cleanest = Window.partitionBy("band").orderBy((F.col("c") / F.col("m")).desc(), "centre")
     centres = other.withColumn("rank", F.row_number().over(cleanest)).where("rank = 1")
     pair = [F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")]
     pairs = (
-        buckets.join(centres.drop("others"), "band")
+        buckets.join(centres, "band")
         .where(f"centre <> node and {possible}")
         .select(*pair)
         .distinct()
@@ -217,7 +222,8 @@ def _linked(buckets, texts, size, percent):
         .agg(F.min("label").alias("low"), F.max("label").alias("high"))
         .where("low < high")
     )
-    open_ = stage(placed.join(apart.select("band"), "band", "left_semi"), "open")
+    open_ = placed.join(apart.select("band"), "band", "left_semi")
+    open_ = stage(open_.join(classes.select("node", "bands", "spread"), "node"), "open")
     other = open_.select(
         "band",
         F.col("node").alias("centre"),
@@ -225,11 +231,15 @@ def _linked(buckets, texts, size, percent):
         F.col("n").alias("m"),
         F.col("common").alias("c"),
         F.col("bands").alias("others"),
+        F.col("spread").alias("spreads"),
     )
-    # A pair that shares several bands is taken in the first of them.
+    # A pair that shares several bands is taken in the first of them. What two sets
+    # share in a bin is at most the smaller count there.
     first = "array_position(zip_with(bands, others, (x, y) -> x = y), true) = slot + 1"
+    common = "aggregate(zip_with(spread, spreads, (x, y) -> least(x, y)), 0, (s, x) -> s + x)"
+    enough = f"(100 + {percent}) * {common} >= {percent} * (n + m)"
     same_band = open_["band"] == other["band"]
-    apart = F.expr(f"centre < node and own <> label and {possible} and {first}")
+    apart = F.expr(f"centre < node and own <> label and {possible} and {first} and {enough}")
     rest = (
         open_.join(other, same_band & apart)
         .select(*pair)
