@@ -1,23 +1,36 @@
-"""The corpus pipeline: documents to packed training sequences in five stages."""
+"""The corpus pipeline: documents to packed training sequences in five stages.
 
+Every stage takes the rows its predecessor kept and, but for the last, returns the
+columns of the documents. ``doc_id`` need not be unique or present: rows are judged
+by their texts.
+"""
+
+from courtstats.llm.decontaminate import without_contamination
 from courtstats.llm.minhash import near_duplicates
+from courtstats.llm.packing import pack
+from courtstats.llm.suffix_dedup import without_repeats
 from courtstats.llm.tables import table, text_key
+from courtstats.llm.toxicity import without_toxic
 from courtstats.sources.shared import stage
 
-#: The stages learn models and search for copies, which SQL cannot express.
+#: The stages learn a model, search for copies and cut tokens, which SQL cannot express.
 ORACLE_SQL = None
 
 
+def toxicity(spark, docs, sf_dir):
+    """Documents with a toxicity score of 0.5 or more go."""
+    return without_toxic(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def near_dedup(spark, docs, sf_dir):
     """One document of each group of near duplicates stays, that of the smallest doc_id.
 
     Rows that repeat both doc_id and text count as one document.
     """
     kept = near_duplicates(docs).where("kept").select("doc_id", "text_key")
+    kept = kept.toDF("_id", "_key")
     keyed = docs.withColumn("text_key", text_key())
-    same = keyed["doc_id"].eqNullSafe(kept["doc_id"]) & (
-        keyed["text_key"] == kept["text_key"]
-    )
+    same = keyed["doc_id"].eqNullSafe(kept["_id"]) & (keyed["text_key"] == kept["_key"])
     return (
         keyed.join(kept, same, "left_semi")
         .dropDuplicates(["doc_id", "text_key"])
@@ -25,10 +38,32 @@ def near_dedup(spark, docs, sf_dir):
     )
 
 
-STAGES = [("minhash near-dedup", near_dedup)]
+def suffix_dedup(spark, docs, sf_dir):
+    """Strings of 400 bytes that stand in several places are cut out; all rows stay."""
+    return without_repeats(docs)
+
+
+def decontamination(spark, docs, sf_dir):
+    """Documents that overlap a benchmark item go."""
+    return without_contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def packing(spark, docs, sf_dir):
+    """Sequences of 1024 tokens: one row for each piece of a document."""
+    return pack(docs)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("minhash near-dedup", near_dedup),
+    ("suffix-array dedup", suffix_dedup),
+    ("benchmark decontamination", decontamination),
+    ("packing", packing),
+]
 
 
 def run(spark, sf_dir):
+    """All stages over the documents, each written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))

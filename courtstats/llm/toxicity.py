@@ -353,7 +353,8 @@ def train(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED
 
     Labels of rows with crc32(doc_id as text) mod 5 = 0, null ids and null labels
     are not used; a document labelled both ways counts as toxic. Without any label
-    of one class no feature is chosen and every score is the share of the other.
+    of one class, or if no feature tells the classes apart, no feature is chosen and
+    every score is the share of toxic labels.
     """
     model = letter_model(docs)
     usable = (
@@ -384,6 +385,9 @@ def train(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED
         .limit(MOST_FEATURES)
     )
     chosen = np.sort(np.array([r.feature for r in counted.collect()], np.int64).view(np.uint64))
+    if not len(chosen):
+        share = {r.toxic: r["count"] for r in usable.groupBy("toxic").count().collect()}
+        return model, chosen, np.zeros(0), float(np.log(share[1] / share[0]))
     examples = rows.mapInArrow(_examples(model, chosen), "toxic bigint, features array<bigint>")
     weight, bias = fit([(r.toxic, r.features) for r in examples.collect()], len(chosen))
     return model, chosen, weight, bias
