@@ -7,6 +7,7 @@ from courtstats.llm.quality import LEAST_WORDS, MOST_REPEATED, RULES, STOP_WORDS
 from courtstats.llm.suffix_dedup import repeat_report
 from courtstats.llm.tables import table
 from courtstats.llm.token_counts import token_counts
+from courtstats.llm.tool_calls import SCHEMAS, derived_traffic, tool_messages
 from courtstats.llm.toxicity import score_texts
 from courtstats.llm.url_filter import filter_urls
 from courtstats.llm.warc import archived
@@ -191,3 +192,10 @@ def op3(spark, sf_dir):
     """Toxicity scores of the documents."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return score_texts(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+@query("op2_chat_formatting")
+def op2(spark, sf_dir):
+    """Tool calls derived from the conversations, linked with their results."""
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return tool_messages(*derived_traffic(turns), SCHEMAS)

@@ -1,0 +1,74 @@
+import json
+from zlib import crc32
+
+import pytest
+
+from courtstats.llm.queries import QUERIES
+from courtstats.llm.tool_calls import SCHEMAS, canonical, parse, tool_messages, violations
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_query_matches_brute_force(spark):
+    rows = spark.read.parquet(f"{SF}/conversations.parquet").collect()
+    calls = {(r.conv_id, r.turn): r.text for r in rows if r.role == "user"}
+    results = {(r.conv_id, r.turn - 1): r.text for r in rows if r.role == "assistant"}
+
+    def level(conv, turn):
+        needs = crc32(calls[conv, turn].encode()) % 2 == 0 and (conv, turn - 2) in calls
+        return level(conv, turn - 2) + 1 if needs else 0
+
+    got = {(r.conv_id, r.call_id): r for r in QUERIES["op2_chat_formatting"](spark, SF).collect()}
+    assert set(got) == {(c, f"call_{t}") for c, t in {*calls, *results}}
+    for (conv, turn), text in calls.items():
+        r = got[conv, f"call_{turn}"]
+        number = crc32(text.encode())
+        answered = (conv, turn) in results
+        good = (1 <= number % 60 <= 50 and len(text) <= 2000) if number % 3 else True
+        assert (r.turn, r.level, r.valid) == (turn, level(conv, turn), good and answered)
+        assert r.status == ("answered" if answered else "unanswered")
+        message = json.loads(r.message)
+        assert message["result"] == results.get((conv, turn)) and canonical(message) == r.message
+        if good:
+            assert message["arguments"]["query"] == text
+    for key in set(results) - set(calls):
+        assert got[key[0], f"call_{key[1]}"].status == "orphan"
+
+
+def test_edges(spark):
+    calls = [
+        (1, 9, "a", "search", '{"limit": 3, "query": "é"}', ["b"]), (1, 5, "b", "search", '{"limit":3.0,"query":"x"}', ["c", "gone"]),
+        (1, 7, "c", "search", "{", None), (1, 1, "d", "search", '{"limit":true,"query":1,"z":0}', ["e"]), (1, 2, "e", "nothing", "{}", ["d"]),
+        (1, 3, "f", "translate", '{"to":"xx","query":""}', ["f"]), (2, 1, "a", "translate", '{"to":"en","query":"q"}', []),
+        (2, 1, "a", "translate", '{"to":"en","query":"q"}', []), (None, 1, "a", "search", None, ["a"]), (3, 1, None, None, "", ["a"]),
+        (4, None, "g", "search", '{"limit":1,"limit":2,"query":"x"}', ["h", "h"]), (4, 2, "h", "search", '{"limit":1e999,"query":"x"}', []),
+    ]
+    results = [(1, 10, "a", "late"), (1, 9, "a", "first"), (1, 8, "b", None), (1, 8, "zz", "lost"), (2, 2, "a", "two"),
+               (None, 2, "a", "x"), (3, 2, None, "y"), (1, 9, "f", "self")]
+    calls = spark.createDataFrame(calls, "conv_id long, turn long, call_id string, name string, arguments string, needs array<string>")
+    results = spark.createDataFrame([(*r, 1) for r in results], "conv_id long, turn long, call_id string, content string, level int")
+    rows = tool_messages(calls, results, SCHEMAS).collect()
+    got = {(r.conv_id, r.call_id): r for r in rows if r.status != "orphan"}
+    assert len(rows) == len(got) + 3 and len(got) == 11
+    assert sorted((r.conv_id or 0, r.call_id or "") for r in rows if r.status == "orphan") == [(0, "a"), (1, "zz"), (3, "")]
+    level = {k: r.level for k, r in got.items()}
+    assert [level[1, x] for x in "cba"] == [0, 1, 2] and level[4, "h"] == 0 and level[4, "g"] == 1
+    assert {x for x in "def" if got[1, x].status == "cycle"} == set("def")
+    assert json.loads(got[1, "a"].message)["result"] == "first" and got[1, "a"].valid
+    assert got[1, "b"].errors == ["arguments.limit is not of type integer"]
+    assert got[1, "c"].errors == ["arguments are not JSON"] and got[1, "e"].errors == ["the tool is unknown"]
+    assert len(got[1, "d"].errors) == 3 and got[4, "g"].errors == got[4, "h"].errors == ["arguments are not JSON"]
+    assert got[2, "a"].valid and got[None, "a"].status == "unanswered"
+    assert tool_messages(calls.limit(0), results.limit(0), SCHEMAS).count() == 0
+
+
+@pytest.mark.parametrize("text", ["", "{", "NaN", '{"a":1,"a":2}', "1e999", "[" * 100_000, '"\\ud800"'])
+def test_not_json(text):
+    with pytest.raises(ValueError):
+        parse(text)
+
+
+def test_canonical_and_schema():
+    assert canonical({"b": [1.0, 0.5, None], "a": "é\n"}) == '{"a":"é\\n","b":[1,0.5,null]}'
+    assert violations([1, "x"], {"type": "array", "items": {"type": "integer"}}) == ["arguments[1] is not of type integer"]
+    assert violations(5, {"type": "number", "maximum": 4}) == ["arguments is too large"]
