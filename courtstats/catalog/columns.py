@@ -262,11 +262,16 @@ def unpivot(spark, sf_dir):
     return unpivot_long(supplier, ["s_suppkey"], ["nation", "balance"], "stat", "value")
 
 
+EVENT_TYPES = ["click", "view", "error", "signup", "purchase"]
+
+
 @query(
     "pivot_wide",
     """select user_id, (max(value) filter (event_type = 'click')) as click,
               (max(value) filter (event_type = 'view')) as view,
-              (max(value) filter (event_type = 'error')) as error
+              (max(value) filter (event_type = 'error')) as error,
+              (max(value) filter (event_type = 'signup')) as signup,
+              (max(value) filter (event_type = 'purchase')) as purchase
        from events group by user_id""",
 )
 def pivot(spark, sf_dir):
@@ -276,9 +281,7 @@ def pivot(spark, sf_dir):
         .groupBy("user_id", "event_type")
         .agg(F.max("value").alias("value"))
     )
-    return pivot_wide(
-        largest, ["user_id"], "event_type", "value", ["click", "view", "error"]
-    )
+    return pivot_wide(largest, ["user_id"], "event_type", "value", EVENT_TYPES)
 
 
 @query(

@@ -8,7 +8,7 @@ from courtstats.catalog.tables import table
 from courtstats.functions.values import season_name
 from courtstats.operators.explore import (
     head,
-    pearson_corr,
+    pearson_corrs,
     scatter_points,
     schema_table,
     shape,
@@ -56,10 +56,26 @@ def season_partition_scan(spark, sf_dir):
     return read_season(spark, path, "0_1")
 
 
+@query(
+    "season_rewrite",
+    f"""select {", ".join(ORDER_COLUMNS)}, {SEASON_DUCK} as "Season" from orders
+        where year(o_orderdate) in (1999, 2000)""",
+)
+def season_rewrite(spark, sf_dir):
+    """Seasons written one at a time, the first one again: each keeps its rows once."""
+    path = new_path(spark, "orders-by-season")
+    orders = season_orders(spark, sf_dir)
+    for season in ("-1_0", "0_1", "-1_0"):
+        write_seasons(orders.where(F.col("Season") == season), path)
+    return spark.read.schema(orders.schema).parquet(path)
+
+
 @query("csv_dim_scan", "select s_suppkey, s_name, s_nationkey, s_acctbal from supplier")
 def csv_dim_scan(spark, sf_dir):
+    """The file holds the columns in another order and further ones between."""
     path = new_path(spark, "supplier-sheet")
-    write_sheet(table(spark, sf_dir, "supplier"), path)
+    supplier = table(spark, sf_dir, "supplier").withColumn("note", F.lit("x"))
+    write_sheet(supplier.select("s_acctbal", "note", *[c for c in supplier.columns[::-1] if c not in ("note", "s_acctbal")]), path)
     schema = T.StructType(
         [
             T.StructField("s_suppkey", T.LongType()),
@@ -79,12 +95,14 @@ def csv_dim_scan(spark, sf_dir):
 def correlation(spark, sf_dir):
     lineitem = table(spark, sf_dir, "lineitem")
     columns = lineitem.select("l_quantity", "l_extendedprice", "l_discount")
-    price = pearson_corr(columns, "l_quantity", "l_extendedprice", "correlation")
-    discount = pearson_corr(columns, "l_quantity", "l_discount", "discount_correlation")
-    return price.select(
-        F.round("correlation", 9).alias("correlation"),
-        F.round(discount.scalar(), 9).alias("discount_correlation"),
+    both = pearson_corrs(
+        columns,
+        {
+            "correlation": ("l_quantity", "l_extendedprice"),
+            "discount_correlation": ("l_quantity", "l_discount"),
+        },
     )
+    return both.select(*[F.round(c, 9).alias(c) for c in both.columns])
 
 
 @query("row_count", "select count(*) as n_rows, 11::bigint as n_columns from lineitem")

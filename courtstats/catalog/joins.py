@@ -219,10 +219,11 @@ def dim_join_opponent(spark, sf_dir):
 
 @query(
     "join_suffix",
-    """select c.c_custkey, c.c_nationkey as nation, c.c_acctbal as balance,
-              s.s_suppkey, s.s_acctbal as balance_supplier, n.n_name
-       from customer c join supplier s on c.c_nationkey = s.s_nationkey
-            and c.c_custkey = s.s_suppkey
+    """with s as (select s_nationkey as nation, count(*) as suppliers,
+                  sum(s_acctbal::decimal(18,2))::double as balance from supplier group by 1)
+       select c.c_custkey, c.c_nationkey as nation, c.c_acctbal as balance,
+              s.suppliers, s.balance as balance_supplier, n.n_name
+       from customer c join s on c.c_nationkey = s.nation
        join nation n on n.n_nationkey = c.c_nationkey""",
 )
 def join_with_suffix(spark, sf_dir):
@@ -231,16 +232,16 @@ def join_with_suffix(spark, sf_dir):
         F.col("c_nationkey").alias("nation"),
         F.col("c_acctbal").alias("balance"),
     )
-    supplier = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey"),
-        F.col("s_suppkey").alias("supplier_key"),
-        F.col("s_nationkey").alias("nation"),
-        F.col("s_acctbal").alias("balance"),
+    supplier = (
+        table(spark, sf_dir, "supplier")
+        .groupBy(F.col("s_nationkey").alias("nation"))
+        .agg(
+            F.count("*").alias("suppliers"),
+            F.sum(F.col("s_acctbal").cast("decimal(18,2)")).cast("double").alias("balance"),
+        )
     )
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    both = join_suffix(
-        customer, supplier, ["nation", "c_custkey"], ["nation", "supplier_key"], "_supplier"
-    )
+    both = join_suffix(customer, supplier, ["nation"], ["nation"], "_supplier")
     return join_suffix(both, nation, ["nation"], ["n_nationkey"], "_nation")
 
 

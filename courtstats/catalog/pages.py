@@ -25,7 +25,8 @@ HREFS_DUCK = """hrefs as (select page_id, unnest(range(len(h))) as position, unn
 ITEMS_DUCK = """items as (select page_id,
   list_transform(regexp_extract_all(html, '<li>(.*?)</li>', 1),
     lambda x: trim(regexp_replace(x, '<[^>]*>', '', 'g'))) as cells from visible)"""
-LABELS = ["first", "second", "third", "fourth", "fifth"]
+# One label for each item a page of this kind can hold; more would raise.
+LABELS = [f"item {i + 1}" for i in range(100)]
 # A link that starts with an ASCII capital, anchored at the start only.
 WORD_LINK = "/[A-Z][a-z]"
 
@@ -120,7 +121,7 @@ def page_cells(spark, sf_dir):
 @query(
     "label_by_position",
     f"""with {VISIBLE_DUCK}, {ITEMS_DUCK}
-        select page_id, cell, {LABELS}[position + 1] as label from (
+        select page_id, cell, 'item ' || (position + 1) as label from (
           select page_id, unnest(range(len(cells))) as position, unnest(cells) as cell
           from items) a""",
 )

@@ -12,7 +12,7 @@ from courtstats.catalog.tables import (
     table,
     team_rounds,
 )
-from courtstats.operators.running import running_means, running_totals
+from courtstats.operators.running import HotKeySplit, running_means, running_totals
 
 EVENT_ORDER = ["ts", "event_id"]
 
@@ -104,3 +104,29 @@ def team_running_avg(spark, sf_dir):
     return means.select(
         "season", "team", "round", "game_number", *[f"avg_{m}" for m in FACT_MEASURES]
     )
+
+
+@query(
+    "hot_key_running",
+    """select event_id, event_type, count(*) over w as type_number,
+              (sum(value::decimal(18,2)) over w)::double as type_total
+       from events window w as (partition by event_type order by ts, event_id
+         rows between unbounded preceding and current row)""",
+)
+def hot_key_running(spark, sf_dir):
+    """Five keys hold all rows, so each is cut into blocks."""
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", "ts", F.col("value").cast("decimal(18,2)").alias("value")
+    )
+    totals = running_totals(
+        events,
+        ["event_type"],
+        EVENT_ORDER,
+        {"type_total": "value"},
+        "event_id",
+        "type_number",
+        HotKeySplit(min_rows=100, shares=16),
+    )
+    return totals.select(
+        "event_id", "event_type", "type_number", F.col("type_total").cast("double").alias("type_total")
+    )

@@ -1,11 +1,20 @@
 """Looking at a table: correlation, shape, schema, first rows, point sets."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def pearson_corr(df: DataFrame, x: str, y: str, name: str) -> DataFrame:
     """Correlation of two columns; null when one of them is constant or empty."""
+    return pearson_corrs(df, {name: (x, y)})
+
+
+def pearson_corrs(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
+    """Correlations of several pairs of columns, by name, in one pass."""
+    return df.agg(*[_correlation(x, y).alias(name) for name, (x, y) in pairs.items()])
+
+
+def _correlation(x: str, y: str) -> Column:
     a, b = F.col(f"`{x}`").cast("double"), F.col(f"`{y}`").cast("double")
     both = a.isNotNull() & b.isNotNull()
     varies = (
@@ -14,9 +23,7 @@ def pearson_corr(df: DataFrame, x: str, y: str, name: str) -> DataFrame:
         & (F.min(F.when(both, b)) < F.max(F.when(both, b)))
     )
     spread = F.stddev_pop(F.when(both, a)) * F.stddev_pop(F.when(both, b))
-    return df.agg(
-        F.when(varies, F.try_divide(F.covar_pop(a, b), spread)).alias(name)
-    )
+    return F.when(varies, F.try_divide(F.covar_pop(a, b), spread))
 
 
 def shape(df: DataFrame) -> DataFrame:

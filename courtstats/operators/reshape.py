@@ -26,10 +26,13 @@ def pivot_wide(
     """One row per key and one column per label.
 
     The labels are given, so no extra pass looks for them, and each task reduces
-    its rows before the shuffle.
+    its rows before the shuffle. A value that is not among them raises.
     """
+    outside = F.concat(F.lit(f"not a label of {name}: "), F.col(f"`{name}`").cast("string"))
+    known = F.col(f"`{name}`").isin(labels) | F.col(f"`{name}`").isNull()
     return (
-        df.groupBy(*[F.col(f"`{k}`") for k in keys])
+        df.withColumn(name, F.when(known, F.col(f"`{name}`")).otherwise(F.raise_error(outside)))
+        .groupBy(*[F.col(f"`{k}`") for k in keys])
         .pivot(name, labels)
         .agg(F.first(F.col(f"`{value}`"), ignorenulls=True))
     )
@@ -49,8 +52,10 @@ def transpose(
 
 
 def label_at(labels: list[str], position: Column) -> Column:
-    """Label of a zero-based position, null beyond the list."""
-    return F.get(F.array(*[F.lit(x) for x in labels]), position)
+    """Label of a zero-based position; a position beyond the list raises."""
+    label = F.get(F.array(*[F.lit(x) for x in labels]), position)
+    beyond = F.raise_error(F.concat(F.lit("no label for position "), position.cast("string")))
+    return F.when(position < len(labels), label).when(position.isNotNull(), beyond)
 
 
 def home_away_roles(home: Column, away: Column, **extra: tuple) -> Column:

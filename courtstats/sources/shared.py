@@ -2,10 +2,14 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 FOLDER_SETTING = "spark.checkpoint.dir"
+#: Paths that the run around the present call has staged.
+_staged: ContextVar[list | None] = ContextVar("staged", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -14,7 +18,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(FOLDER_SETTING, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError(f"set {FOLDER_SETTING} to a folder all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="courtstats-"))
     return context.getCheckpointDir()
@@ -32,5 +36,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     not.
     """
     path = new_path(df.sparkSession, name)
+    if _staged.get() is not None:
+        _staged.get().append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def run_owning_stages(spark: SparkSession):
+    """Delete what is staged inside when the block ends; its result must be written."""
+    mine = []
+    token = _staged.set(mine)
+    try:
+        yield
+    finally:
+        _staged.reset(token)
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        settings = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in map(hadoop, mine):
+            path.getFileSystem(settings).delete(path, True)

@@ -1,6 +1,6 @@
 """Parquet tables, season sheets, stored pages and the season sink."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +18,7 @@ PAGE_SCHEMA = T.StructType(
 
 
 def sheet_schema(further: list[str] = ()) -> T.StructType:
-    """Sheet columns in file order; further columns may follow and are pruned."""
+    """The columns to take from a sheet, wherever they stand in it."""
     return T.StructType(
         [T.StructField(SHEET_KEY, T.StringType())]
         + [T.StructField(c, T.DoubleType()) for c in SHEET_STATS]
@@ -30,10 +30,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Stored pages with the season's start year taken from the link."""
+def read_pages(
+    spark: SparkSession, path: str, start_year: int | None = None
+) -> DataFrame:
+    """Stored pages with the season of a given start year or of their link."""
     pages = spark.read.schema(PAGE_SCHEMA).parquet(path)
-    return with_page_season(pages)
+    return with_page_season(pages, start_year)
 
 
 def with_page_season(pages: DataFrame, start_year: int | None = None) -> DataFrame:
@@ -47,23 +49,51 @@ def with_page_season(pages: DataFrame, start_year: int | None = None) -> DataFra
 
 
 def read_sheet(
-    spark: SparkSession, path: str, schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    strict: bool = True,
 ) -> DataFrame:
-    """A season sheet exported to CSV, typed by schema.
+    """The columns of a schema from a season sheet exported to CSV, by name.
 
-    A folder with ``Season=..`` subfolders gives all seasons with a ``Season``
-    column and prunes to the ones asked for.
+    Other columns are passed over; a column that is absent raises, and so does a
+    file of the same path whose header differs. Strict raises on text that is no
+    value of the column's type, otherwise it is null.
     """
     schema = schema or sheet_schema()
-    return spark.read.schema(schema).option("header", True).csv(path)
+    text = (
+        spark.read.option("header", True)
+        .option("inferSchema", False)
+        .option("enforceSchema", False)
+        .csv(path)
+    )
+    absent = [f.name for f in schema if f.name not in text.columns]
+    if absent:
+        raise ValueError(f"the sheet has no column {', '.join(absent)}")
+    return text.select(*[_typed(f, strict).alias(f.name) for f in schema])
+
+
+def _typed(field: T.StructField, strict: bool) -> Column:
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return column
+    kind = field.dataType.simpleString()
+    return column.cast(kind) if strict else column.try_cast(kind)
 
 
 def read_season_sheets(
-    spark: SparkSession, folder: str, schema: T.StructType | None = None
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType | None = None,
+    strict: bool = True,
 ) -> DataFrame:
+    """As ``read_sheet`` for a folder with ``Season=..`` subfolders.
+
+    The season is a column, and only the seasons asked for are read.
+    """
     schema = schema or sheet_schema()
     with_season = T.StructType(schema.fields + [T.StructField("Season", T.StringType())])
-    return spark.read.schema(with_season).option("header", True).csv(folder)
+    return read_sheet(spark, folder, with_season, strict)
 
 
 def write_sheet(df: DataFrame, path: str, partition: str | None = None) -> None:
@@ -76,11 +106,16 @@ def write_sheet(df: DataFrame, path: str, partition: str | None = None) -> None:
 def write_seasons(df: DataFrame, path: str, season: str = "Season") -> None:
     """Parquet folder per season.
 
-    The rebalance hint gives few files per season and splits a season that is
-    much larger than the others over several tasks.
+    Only the seasons in ``df`` are written anew; others in the folder stay. The
+    rebalance hint gives few files per season and splits a season that is much
+    larger than the others over several tasks.
     """
-    df.hint("rebalance", season).write.mode("overwrite").partitionBy(season).parquet(
-        path
+    (
+        df.hint("rebalance", season)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(season)
+        .parquet(path)
     )
 
 

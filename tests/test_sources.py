@@ -1,9 +1,12 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from courtstats import fixed
 from courtstats.operators.explore import head, pearson_corr, scatter_points, schema_table, shape
-from courtstats.operators.reshape import ordered_distinct, pivot_wide, transpose, union_all, unpivot_long
+from courtstats.operators.reshape import label_at, ordered_distinct, pivot_wide, transpose, union_all, unpivot_long
 from courtstats.plans.boxscore import boxscore
 from courtstats.plans.season import run_seasons
 from courtstats.sources.shared import shared_folder, stage
@@ -59,7 +62,7 @@ def test_sheet_reads_only_needed_columns(spark, tmp_path):
     got = read_sheet(spark, str(tmp_path / "one"), schema)
     assert tuple(got.first()) == row and got.schema == schema
     plan = got.select("TEAM", "PACE")._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<TEAM:string,PACE:double>" in plan
+    assert "ReadSchema: struct<TEAM:string,PACE:string>" in plan
 
 
 def test_run_seasons(spark, tmp_path):
@@ -85,11 +88,62 @@ def test_run_seasons(spark, tmp_path):
     first = run_seasons(spark, *paths)
     rows = sorted(map(str, first.collect()))
     assert len(rows) == 8 and len(first.columns) == 132
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
     again = run_seasons(spark, *paths)
+    assert set(os.listdir(folder)) == before
     assert sorted(map(str, again.collect())) == rows
     assert spark.read.parquet(paths[2]).count() == 16
 
 
+def test_run_of_one_season_keeps_the_others(spark, tmp_path):
+    def pages(season, name, points):
+        body = side(["p-A"], [stats(), stats("200:00", points)], False)
+        body += side(["p-B"], [stats(), stats("200:00", "60")], False)
+        row = (1, "/no/season/", page("A", "B", ["Round 1", f"1 Oct {season}", "x", "20:00"], body))
+        path = str(tmp_path / name)
+        spark.createDataFrame([row], "page_id long, url string, html string").write.parquet(path)
+        return path
+
+    sheet = [(t, *[1.0] * 16, s) for t in "AB" for s in ("22_23", "23_24")]
+    fields = "TEAM string, " + ", ".join(f"`{c}` double" for c in fixed.SHEET_STATS)
+    sheets, raw, out = (str(tmp_path / p) for p in ("sheets", "raw", "out"))
+    write_sheet(spark.createDataFrame(sheet, fields + ", Season string"), sheets, "Season")
+    run_seasons(spark, pages(2022, "a", "80"), sheets, raw, out, 2022)
+    one = run_seasons(spark, pages(2023, "b", "81"), sheets, raw, out, 2023)
+    assert {r.Season for r in one.collect()} == {"23_24"}
+    kept = spark.read.parquet(raw).groupBy("Season").count().collect()
+    assert {r.Season for r in kept} == {"22_23", "23_24"}
+    run_seasons(spark, pages(2023, "c", "99"), sheets, raw, out, 2023)
+    points = {r.Season: r.p for r in spark.read.parquet(raw).groupBy("Season").agg(F.max("Points").alias("p")).collect()}
+    assert points == {"22_23": 80, "23_24": 99}
+    with pytest.raises(Exception, match="no season in the link"):
+        run_seasons(spark, pages(2023, "d", "99"), sheets, raw, out)
+
+
+def test_sheet_columns_are_taken_by_name(spark, tmp_path):
+    rows = spark.createDataFrame([("5", "x", "A", "1.5"), ("bad", "y", "B", None)], "GP string, z string, TEAM string, PACE string")
+    write_sheet(rows, str(tmp_path / "s"))
+    schema = T.StructType([T.StructField("TEAM", T.StringType()), T.StructField("PACE", T.DoubleType())])
+    got = read_sheet(spark, str(tmp_path / "s"), schema)
+    assert sorted(map(tuple, got.collect())) == [("A", 1.5), ("B", None)]
+    with pytest.raises(ValueError, match="no column BLK%"):
+        read_sheet(spark, str(tmp_path / "s"), T.StructType([T.StructField("BLK%", T.DoubleType())]))
+    number = T.StructType([T.StructField("GP", T.DoubleType())])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_sheet(spark, str(tmp_path / "s"), number).collect()
+    loose = read_sheet(spark, str(tmp_path / "s"), number, strict=False)
+    assert {r.GP for r in loose.collect()} == {5.0, None}
+
+
+def test_value_without_a_label_raises(spark):
+    long = spark.createDataFrame([(1, "a", 2), (1, "c", 3), (2, None, 4)], "k int, name string, value int")
+    with pytest.raises(Exception, match="not a label of name: c"):
+        pivot_wide(long, ["k"], "name", "value", ["a", "b"]).collect()
+    with pytest.raises(Exception, match="no label for position 2"):
+        spark.range(3).select(label_at(["x", "y"], F.col("id").cast("int"))).collect()
+
+
 def test_union_matches_names(spark):
     a = spark.createDataFrame([(1, "x")], "i int, s string")
     b = spark.createDataFrame([("y", 2)], "s string, i int")
