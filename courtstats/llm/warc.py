@@ -22,7 +22,7 @@ RECORD_END = "\r\n\r\n"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
-#: Payload files hold about this many bytes; a larger payload has its own.
+#: Payload files hold as many records as fill this many bytes on average.
 FILE_BYTES = 8 << 20
 
 
@@ -82,11 +82,11 @@ def write_archive(pages: DataFrame, folder: str, least_bytes: int = 0) -> None:
         ("Content-Type", F.lit("text/html; charset=utf-8")),
         ("Content-Length", size.cast("string")),
     )
-    total = rows.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    files = max(1, -(-total // FILE_BYTES))
-    once.select(F.concat(resource, "html").alias("value")).repartition(files).write.option(
+    mean = rows.agg(F.avg(F.octet_length("html"))).first()[0] or 0
+    each = max(1, int(FILE_BYTES // max(1, mean)))
+    once.select(F.concat(resource, "html").alias("value")).write.option(
         "lineSep", RECORD_END
-    ).option("compression", "gzip").text(f"{folder}/payloads")
+    ).option("compression", "gzip").option("maxRecordsPerFile", each).text(f"{folder}/payloads")
     firsts = rows.select("content", "page_id").groupBy("content").agg(F.max("page_id").alias("last"))
     facts = rows.select(
         "page_id",
