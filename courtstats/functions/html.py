@@ -6,7 +6,7 @@ together again.
 """
 
 import re
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,6 +15,15 @@ from courtstats.functions.text import strip_text
 
 # The whitespace that separates attributes, for use in brackets.
 SPACE = r" \t\n\r\f"
+# What may stand in a tag: quoted values hold any character, also ">".
+QUOTED = r"\"[^\"]*+\"|'[^']*+'"
+# Named references; lookups go from left to right, so the usual ones come first.
+_USUAL = ("amp", "lt", "gt", "quot", "nbsp", "apos")
+REFERENCES = "\u0001".join(
+    f"{name}\u0002{html5[name + ';']}"
+    for name in (*_USUAL, *sorted({n[:-1] for n in html5 if n.endswith(";")} - {*_USUAL}))
+)
+REST = rf"(?:[^>\"']++|{QUOTED})*+>"
 
 
 def visible_html(html: Column) -> Column:
@@ -27,39 +36,42 @@ def visible_html(html: Column) -> Column:
 def opening_tag(tag: str, css_class: str | None = None) -> str:
     """Pattern (no groups) of an opening tag, optionally with a class.
 
-    One class name matches anywhere in the class list; several names separated
-    by spaces match the exact attribute text.
+    One class name matches anywhere in the class list, which may stand without
+    quotes if it is one name; several names separated by spaces match the exact
+    attribute text.
     """
     if css_class is None:
-        return rf"(?is)<{tag}\b[^>]*+>"
+        return rf"(?is)<{tag}\b{REST}"
     if " " in css_class:
         name = re.escape(css_class)
-        return rf"{_up_to_class(tag)}(?-i:\"{name}\"|'{name}')[^>]*+>"
+        return rf"{_up_to_class(tag)}(?-i:\"{name}\"|'{name}'){REST}"
     return _with_class(tag, _class_item(css_class))
 
 
 def _up_to_class(tag: str) -> str:
     # Possessive steps over whole attributes: a tag that does not match is given
     # up without going back over it.
-    others = rf"(?:(?!class[{SPACE}]*+=)[^>{SPACE}]++[{SPACE}]++)*+"
+    one = rf"(?:[^>\"'{SPACE}]++|{QUOTED})++"
+    others = rf"(?:(?!class[{SPACE}]*+=){one}[{SPACE}]++)*+"
     return rf"(?is)<{tag}[{SPACE}]++{others}class[{SPACE}]*+=[{SPACE}]*+"
 
 
 def _with_class(tag: str, *items: str) -> str:
     """One of the items in the class list, tried once per class name."""
-    others = rf"[\"'][{SPACE}]*+(?:[^\"'>{SPACE}]++[{SPACE}]++)*?"
+    others = rf"(?:[\"'][{SPACE}]*+(?:[^\"'>{SPACE}]++[{SPACE}]++)*?|(?=[^\"'{SPACE}]))"
     return rf"{_up_to_class(tag)}(?-i:{others}(?:{'|'.join(items)}))"
 
 
 def _class_item(name: str, then: str = "") -> str:
-    return rf"{re.escape(name)}(?=[\"'{SPACE}])[^>]*+>{then}"
+    return rf"{re.escape(name)}(?=[\"'{SPACE}>])[^>\"']*+[\"']?+{REST}{then}"
 
 
 def nested_texts(html: Column, tag: str, outer: str, middle: str, inner: str) -> Column:
     """Texts of inner elements, by middle element, by outer element.
 
     All three are of one kind and told apart by class. One pass over the page
-    keeps the texts with a mark for each level; the short rest is then split.
+    keeps the texts with a mark for each level; the short rest is then split. An
+    inner element that holds another of its kind raises: its end is not known.
     """
     to_end = rf".*?(?i:</{tag}[{SPACE}]*+>)"
     pattern = _with_class(
@@ -70,7 +82,13 @@ def nested_texts(html: Column, tag: str, outer: str, middle: str, inner: str) ->
         F.regexp_extract_all(html, F.lit(pattern), F.lit(0)),
         lambda found: F.when(
             F.contains(found, F.lit("</")),  # the only kind taken with its content
-            F.concat(F.lit(marks[2]), F.translate(text_of(found), marks, "")),
+            F.concat(
+                F.lit(marks[2]),
+                F.when(
+                    found.rlike(rf"(?is)^<.*<{tag}[{SPACE}>/]"),
+                    F.raise_error(F.concat(F.lit("an element inside a cell: "), found)),
+                ).otherwise(F.translate(text_of(found), marks, "")),
+            ),
         )
         .when(found.rlike(opening_tag(tag, outer)), F.lit(marks[0]))
         .otherwise(F.lit(marks[1])),
@@ -87,10 +105,7 @@ def nested_texts(html: Column, tag: str, outer: str, middle: str, inner: str) ->
 
 def decode_entities(text: Column) -> Column:
     """Resolve named and numeric character references, each exactly once."""
-    known = F.create_map(
-        *[F.lit(v) for n, c in sorted(name2codepoint.items()) for v in (n, chr(c))],
-        F.lit("apos"), F.lit("'"),
-    )
+    known = F.str_to_map(F.lit(REFERENCES), F.lit("\u0001"), F.lit("\u0002"))
 
     def resolve(piece: Column, position: Column) -> Column:
         name = F.regexp_extract(piece, r"^(#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|\w+);", 1)
@@ -114,12 +129,17 @@ def decode_entities(text: Column) -> Column:
 
 def text_of(fragment: Column) -> Column:
     """Text of an HTML fragment: tags removed, references resolved."""
-    text = F.regexp_replace(fragment, r"<[^>]*+>", "")
-    return (
-        F.when(~fragment.rlike("[<&]"), fragment)
-        .when(~F.contains(fragment, F.lit("&")), text)
-        .otherwise(decode_entities(text))
-    )
+
+    def plain(piece: Column) -> Column:
+        text = F.regexp_replace(piece, rf"<(?:[^>\"']++|{QUOTED})*+>", "")
+        return (
+            F.when(~piece.rlike("[<&]"), piece)
+            .when(~F.contains(piece, F.lit("&")), text)
+            .otherwise(decode_entities(text))
+        )
+
+    # Bound once, whatever the fragment is made of.
+    return F.get(F.transform(F.array(fragment), plain), F.lit(0))
 
 
 def element_fragments(html: Column, tag: str, css_class: str | None = None) -> Column:
@@ -137,11 +157,15 @@ def element_texts(html: Column, tag: str, css_class: str | None = None) -> Colum
 
 def attribute(opening: Column, name: str) -> Column:
     """Value of an attribute of an opening tag, null when absent."""
-    pattern = rf"(?is)\s{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
-    value = F.concat(
-        F.regexp_extract(opening, pattern, 1), F.regexp_extract(opening, pattern, 2)
+    value = rf"(?:{QUOTED}|[^{SPACE}\"'>]++)"
+    others = rf"(?:(?!{name}[{SPACE}]*+=)[^{SPACE}>=\"']++(?:[{SPACE}]*+=[{SPACE}]*+{value})?+[{SPACE}]*+)*+"
+    pattern = rf"(?is)^<\w++[{SPACE}]++{others}{name}[{SPACE}]*+=[{SPACE}]*+({value})"
+    # The value is bound once: each mention in the steps after would match again.
+    found = F.transform(
+        F.array(F.regexp_extract(opening, pattern, 1)),
+        lambda raw: F.when(raw != "", decode_entities(F.regexp_replace(raw, r"^[\"']|[\"']$", ""))),
     )
-    return F.when(opening.rlike(pattern), decode_entities(value))
+    return F.get(found, F.lit(0))
 
 
 def attribute_values(

@@ -156,3 +156,21 @@ def test_nested_texts(one):
     )
     got = one(raw, lambda c: html.nested_texts(c, "div", "g", "r", "c"))
     assert got == [[[], ["1", "2&"]], [[""]]]
+
+
+def test_tags_as_browsers_read_them(one):
+    hrefs = lambda text: one(text, lambda c: html.attribute_values(c, "a", "href"))
+    assert hrefs("<a href=/x/>y</a>") == ["/x/"]
+    assert hrefs('<a title="a > b" href="/x/">y</a>') == ["/x/"]
+    assert hrefs("<a title=' href=\"no\" ' data-href='n' HREF = '/q'>y</a>") == ["/q"]
+    assert hrefs('<a href="">y</a><a class=b>z</a><abbr href="n">') == [""]
+    texts = lambda text, name: one(text, lambda c: html.element_texts(c, "h1", name))
+    assert texts("<h1 class=big>A</h1><h1 class='x big'>B</h1><h1 class=bigger>C</h1>", "big") == ["A", "B"]
+    assert texts('<h1 title="class=big > x">A</h1><h1 data-x="1 > 0" class="big">B</h1>', "big") == ["B"]
+    assert one("&lbrack;&hearts;&amp;&nosuch;&#x41;", html.decode_entities) == "[♥&&nosuch;A"
+
+
+def test_an_element_inside_a_cell_raises(one):
+    text = '<div class="g"><div class="r"><div class="c">1<div>2</div></div></div></div>'
+    with pytest.raises(Exception, match="an element inside a cell"):
+        one(text, lambda c: html.nested_texts(c, "div", "g", "r", "c"))
