@@ -105,7 +105,7 @@ FACT_KEYS_DUCK = f"""with {FACT_DUCK}, {TEAM_ROUNDS_DUCK}, {TEAMS_DUCK},
         select {KEYS_DUCK}, p.merge_round, {_averages('o', '')} from players p {OWN_DUCK}""",
 )
 def lagged_team_join(spark, sf_dir):
-    rows = fact(spark, sf_dir)
+    rows = stage(fact(spark, sf_dir).select(*ROW_KEYS, *FACT_MEASURES), "fact")
     teams = team_rows(rows)
     joined = lag_join(with_merge_round(rows.select(*ROW_KEYS)), teams, "team", "_own_team")
     return joined.withColumn("merge_round", F.col("merge_round").cast("bigint"))
@@ -117,7 +117,7 @@ def lagged_team_join(spark, sf_dir):
         select {KEYS_DUCK}, p.merge_round, {_averages('x', '')} from players p {OTHER_DUCK}""",
 )
 def lagged_opponent_join(spark, sf_dir):
-    rows = fact(spark, sf_dir)
+    rows = stage(fact(spark, sf_dir).select(*ROW_KEYS, *FACT_MEASURES), "fact")
     teams = team_rows(rows)
     joined = lag_join(
         with_merge_round(rows.select(*ROW_KEYS)), teams, "opponent", "_opponent"

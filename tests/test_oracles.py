@@ -8,6 +8,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql
 from courtstats.catalog import QUERIES
+from courtstats.catalog.tables import FACT_ORDER, fact
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(
@@ -51,3 +52,15 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+def test_order_of_player_rows_has_no_ties(spark):
+    rows = fact(spark, SF_DIR)
+    assert rows.groupBy("player", *FACT_ORDER).count().where("count > 1").isEmpty()
+
+
+@pytest.mark.parametrize("name", ["full_features", "lagged_team_join"])
+def test_line_items_are_joined_once(spark, name):
+    """What the query returns reads the joined rows from the staged table."""
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_custkey" not in plan and "c_custkey" not in plan
