@@ -205,9 +205,13 @@ def _side_problem() -> Column:
 
 def rejected_sides(pages: DataFrame) -> DataFrame:
     """Sides that cannot be read, with the reason."""
+    return rejects(page_sides(pages, strict=False))
+
+
+def rejects(sides: DataFrame) -> DataFrame:
+    """The sides with a problem; give stored sides to read the pages only once."""
     return (
-        page_sides(pages, strict=False)
-        .where(F.col("problem").isNotNull())
+        sides.where(F.col("problem").isNotNull())
         .select("page_id", "Home", "problem")
     )
 
@@ -218,7 +222,11 @@ def page_rows(pages: DataFrame, strict: bool = True) -> DataFrame:
     Strict raises on a side that cannot be read; otherwise it is left out and
     listed by ``rejected_sides``.
     """
-    sides = page_sides(pages, strict)
+    return side_rows(page_sides(pages, strict), strict)
+
+
+def side_rows(sides: DataFrame, strict: bool = True) -> DataFrame:
+    """The rows of ``page_rows`` from sides that are read already."""
     groups = F.col("groups")
     cells = F.transform(
         F.sequence(F.lit(0), F.size("labels") - 1),

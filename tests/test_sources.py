@@ -121,6 +121,27 @@ def test_run_of_one_season_keeps_the_others(spark, tmp_path):
         run_seasons(spark, pages(2023, "d", "99"), sheets, raw, out)
 
 
+def test_run_reports_what_it_leaves_out(spark, tmp_path):
+    def url(n):
+        return f"/euroleague/game-center/2022-23/a-b/E2022/{n}/"
+
+    info = ["Round 1", "1 Oct 2022", "x", "20:00"]
+    good = side(["p-A"], [stats(), stats("200:00", "80")], False) + side(["p-B"], [stats(), stats("200:00", "60")], False)
+    bad = side(["p-A", "p-Z"], [stats(), stats("200:00", "80")], False)
+    pages = [(1, url(1), page("A", "B", info, good)), (2, url(2), page("A", "B", info, bad)), (3, "/x/", page("A", "B", info, good))]
+    path = lambda name: str(tmp_path / name)
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(path("pages"))
+    fields = "TEAM string, " + ", ".join(f"`{c}` double" for c in fixed.SHEET_STATS)
+    write_sheet(spark.createDataFrame([("A", *[1.0] * 16, "22_23")], fields + ", Season string"), path("sheets"), "Season")
+    run_seasons(spark, path("pages"), path("sheets"), path("raw"), path("out"), strict=False, rejects_path=path("no"))
+    assert {r.page_id for r in spark.read.parquet(path("no/sides")).collect()} == {2}
+    assert [tuple(r) for r in spark.read.parquet(path("no/teams")).collect()] == [("22_23", "B")]
+    twice = [(1, url(1), pages[0][2]), (2, url(2), pages[0][2])]
+    spark.createDataFrame(twice, "page_id long, url string, html string").write.parquet(path("two"))
+    with pytest.raises(ValueError, match="several total rows"):
+        run_seasons(spark, path("two"), path("sheets"), path("raw"), path("out"))
+
+
 def test_sheet_columns_are_taken_by_name(spark, tmp_path):
     rows = spark.createDataFrame([("5", "x", "A", "1.5"), ("bad", "y", "B", None)], "GP string, z string, TEAM string, PACE string")
     write_sheet(rows, str(tmp_path / "s"))
