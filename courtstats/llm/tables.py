@@ -3,8 +3,6 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TEXT_KEY = "_text_key"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -17,12 +15,6 @@ def text_key(text="text"):
     return F.unhex(F.sha2(F.coalesce(column, F.lit("")).cast("binary"), 256))
 
 
-def with_partitions(df: DataFrame, *keys, least: int = 1) -> DataFrame:
-    """Deal rows over the session's shuffle partitions."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(n, least), *keys)
-
-
 def distinct_texts(docs: DataFrame) -> DataFrame:
     """``text_key, text`` once for each text (null: empty).
 
