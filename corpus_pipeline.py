@@ -16,6 +16,9 @@ from courtstats.sources.shared import stage
 #: The stages learn a model, search for copies and cut tokens, which SQL cannot express.
 ORACLE_SQL = None
 
+#: Passages of over 50 words that repeat are cut.
+WORDS = 51
+
 
 def toxicity(spark, docs, sf_dir):
     """Documents with a toxicity score of 0.5 or more go."""
@@ -39,8 +42,9 @@ def near_dedup(spark, docs, sf_dir):
 
 
 def suffix_dedup(spark, docs, sf_dir):
-    """Strings of 400 bytes that stand in several places are cut out; all rows stay."""
-    return without_repeats(docs)
+    """Strings of 400 bytes, and runs of 51 words of any length in bytes, that stand in
+    several places are cut out; all rows stay."""
+    return without_repeats(docs, words=WORDS)
 
 
 def decontamination(spark, docs, sf_dir):

@@ -11,9 +11,14 @@ fragments are counted once, and each shard builds the suffix array of its
 fragments by induced sorting and their permuted common prefixes. Starts whose
 neighbours in suffix order agree for a whole window are repeated; they go back to
 the documents by fragment.
+
+Runs of some number of words can be asked for besides. Their windows are owned by
+anchors of ``WORD_GRAM`` words and thinned out by shares in the same way; what
+remains is compared by 128-bit digests of single windows.
 """
 
 import hashlib
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,32 +26,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from courtstats.llm.arrays import Prefixes, bytes_of, mix, pieces
+from courtstats.llm.arrays import Prefixes, bytes_of, mix, pieces, word_spans
 from courtstats.llm.suffix_array import permuted_common_prefixes, suffix_array
 from courtstats.llm.tables import distinct_texts, text_key
 from courtstats.sources.shared import stage
 
 LENGTH = 400
 GRAM = 8
+WORD_GRAM = 3
 #: A shard is worked on in parts of about this many bytes, whole shares each.
 PART_BYTES = 1 << 20
 #: A share with more bytes of different fragments is cut into single windows.
 HOT_BYTES = 16 << 20
 _END = 254
 _POSITION = np.uint64((1 << 32) - 1)
+#: Keeps shares of words apart from shares of bytes.
+_OF_WORDS = np.uint64(0xA5A5A5A55A5A5A5A)
+
+
+def _grams(data):
+    """The value of every 8 bytes, or of every few words given by their hashes."""
+    if data.dtype != np.uint8:
+        starts = np.arange(len(data) - WORD_GRAM + 1)
+        return Prefixes(data).of(starts, starts + WORD_GRAM), WORD_GRAM
+    gram = np.zeros(len(data) - GRAM + 1, np.uint64)
+    for k in range(GRAM):
+        gram |= data[k : k + len(gram)].astype(np.uint64) << np.uint64(8 * k)
+    return gram, GRAM
 
 
 def _shares(data, offsets, length):
-    """Owned starts ``low..high`` and the key of the text they all share."""
+    """Owned starts ``low..high`` and the key of the text they all share.
+
+    ``data`` are bytes or hashes of words; everything is counted in these.
+    """
     none = np.zeros(0, np.int64)
     n = len(data) - length + 1
     if n <= 0:
         return none, none, np.zeros(0, np.uint64)
-    gram = np.zeros(len(data) - GRAM + 1, np.uint64)
-    for k in range(GRAM):
-        gram |= data[k : k + len(gram)].astype(np.uint64) << np.uint64(8 * k)
+    gram, size = _grams(data)
     value = (mix(gram) & ~_POSITION) | np.arange(len(gram), dtype=np.uint64)
-    width = length - GRAM + 1
+    width = length - size + 1
     filled = np.full(-(-len(value) // width) * width, ~np.uint64(0))
     filled[: len(value)] = value
     rows = filled.reshape(-1, width)
@@ -71,7 +91,7 @@ def _shares(data, offsets, length):
     high = starts[np.append(at[1:], len(starts)) - 1]
     anchor, left = anchor[at], left[at]
     first = np.where(left, anchor - half, anchor)
-    last = np.where(left, anchor + GRAM, anchor - half + 1 + length)
+    last = np.where(left, anchor + size, anchor - half + 1 + length)
     key = Prefixes(data).of(first, last) ^ left.astype(np.uint64)
     return low, high, key
 
@@ -86,19 +106,40 @@ def _of_rows(column, length):
             yield data[offsets[i] : offsets[i + 1]], low[own] - offsets[i], high[own] - offsets[i], key[own]
 
 
-def _keyed(length):
+def _words_of_rows(column, words):
+    """For each row: its number of words, and its shares as first words and keys."""
+    for begin, end, data, offsets in pieces(column):
+        starts, ends, counts = word_spans(data, offsets)
+        edges = np.append(0, np.cumsum(counts))
+        low, high, key = _shares(Prefixes(data).of(starts, ends), edges, words)
+        cut = np.searchsorted(low, edges)
+        for i in range(end - begin):
+            own = slice(cut[i], cut[i + 1])
+            yield int(counts[i]), low[own] - edges[i], high[own] - edges[i], key[own] ^ _OF_WORDS
+
+
+def _keyed(length, words):
     def run(batches):
         for batch in batches:
-            sizes, keys, own = [], [], []
-            for data, _, _, key in _of_rows(batch.column(1), length):
-                each, counts = np.unique(key, return_counts=True)
+            sizes, numbers, keys, own = [], [], [], []
+            none = np.zeros(0, np.uint64)
+            runs = _words_of_rows(batch.column(1), words) if words else repeat((0, none, none, none))
+            for (data, _, _, key), (number, _, _, more) in zip(_of_rows(batch.column(1), length), runs):
+                each, counts = np.unique(np.concatenate([key, more]), return_counts=True)
                 sizes.append(len(data))
+                numbers.append(number)
                 keys.append(each.view(np.int64))
                 own.append(each[counts > 1].view(np.int64))
             many = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, many), pa.array(own, many)],
-                ["text_key", "n_bytes", "keys", "own"],
+                [
+                    batch.column(0),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(numbers, pa.int64()),
+                    pa.array(keys, many),
+                    pa.array(own, many),
+                ],
+                ["text_key", "n_bytes", "n_words", "keys", "own"],
             )
 
     return run
@@ -133,6 +174,44 @@ def _fragments(length):
     return run
 
 
+def _word_windows(words):
+    """A row for each window of words in the wanted shares of each text."""
+
+    def run(batches):
+        for batch in batches:
+            digests, keys, firsts = [], [], []
+            texts, offsets = bytes_of(batch.column(1))
+            for i, (number, low, high, key) in enumerate(_words_of_rows(batch.column(1), words)):
+                wanted = np.array(batch.column(2)[i].as_py(), np.int64).view(np.uint64)
+                at = np.flatnonzero(np.isin(key, wanted))
+                if not len(at):
+                    continue
+                text_id = batch.column(0)[i].as_py()
+                each = texts[offsets[i] : offsets[i + 1]].tobytes().split()
+                edges = np.cumsum([0, *[len(w) + 1 for w in each]])
+                held = b" ".join(each)
+                for j in at:
+                    for first in range(int(low[j]), int(high[j]) + 1):
+                        digests.append(xxh3_128_digest(held[edges[first] : edges[first + words] - 1]))
+                        keys.append(text_id)
+                        firsts.append(first)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(digests, pa.binary()), pa.array(keys, pa.binary()), pa.array(firsts, pa.int64())],
+                ["window", "text_key", "first"],
+            )
+
+    return run
+
+
+def _word_places(texts, words):
+    """``text_key, firsts``: first words of the windows that occur again."""
+    windows = stage(
+        texts.mapInArrow(_word_windows(words), "window binary, text_key binary, first bigint"), "windows"
+    )
+    twice = windows.groupBy("window").count().where("count > 1").select("window")
+    return windows.join(twice, "window").groupBy("text_key").agg(F.collect_list("first").alias("firsts"))
+
+
 def repeated_starts(held, offsets, owned, weights, length=LENGTH):
     """Which owned starts of some fragments begin a window that occurs again.
 
@@ -201,7 +280,7 @@ def _runs(flags):
     return edge.reshape(-1, 2)
 
 
-def _cut(length):
+def _cut(length, words):
     """What stays of each text when its repeated windows are taken out."""
 
     def run(batches):
@@ -211,9 +290,14 @@ def _cut(length):
             for i in range(batch.num_rows):
                 own = data[offsets[i] : offsets[i + 1]]
                 cover = np.zeros(len(own) + 1, np.int64)
-                for each in batch.column(2)[i].as_py():
+                for each in batch.column(2)[i].as_py() or ():
                     cover[each["a"]] += 1
                     cover[each["b"] - 1 + length] -= 1
+                if words and (firsts := batch.column(3)[i].as_py()):
+                    starts, ends, _ = word_spans(own, np.array([0, len(own)]))
+                    firsts = np.array(firsts)
+                    np.add.at(cover, starts[firsts], 1)
+                    np.add.at(cover, ends[firsts + words - 1], -1)
                 gone = np.cumsum(cover[:-1]) > 0
                 left = own[~gone].tobytes()
                 removed.append(int(gone.sum()))
@@ -244,7 +328,7 @@ def _whole_characters(own, gone):
     return own[first[0] :][keep].tobytes().decode("utf-8", "replace")
 
 
-def repeated_text(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_text(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
     """``text_key, n_removed, n_spans, kept_sha256, kept_text`` of texts that lose bytes.
 
     Every whole text counts, as UTF-8 (null: empty). A byte goes if some string of
@@ -252,13 +336,22 @@ def repeated_text(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     one, or a copy of it: each row of ``docs`` is a place of its own, so rows that
     repeat each other lose everything if they are long enough. Texts shorter than
     ``length`` lose nothing and do not appear. ``kept_text`` keeps characters whole.
+
+    With ``words``, which must be over ``WORD_GRAM``, a run of so many words that
+    starts anywhere else too goes as well, however few bytes it has and whatever
+    white space stands between its words; rows that repeat each other lose
+    everything if they have so many words.
     """
     keyed = stage(
         docs.select(text_key().alias("text_key"), "text")
-        .mapInArrow(_keyed(length), "text_key binary, n_bytes bigint, keys array<bigint>, own array<bigint>")
+        .mapInArrow(
+            _keyed(length, words),
+            "text_key binary, n_bytes bigint, n_words bigint, keys array<bigint>, own array<bigint>",
+        )
         .groupBy("text_key")
         .agg(
             F.first("n_bytes").alias("n_bytes"),
+            F.first("n_words").alias("n_words"),
             F.first("keys").alias("keys"),
             F.first("own").alias("own"),
             F.count("*").alias("copies"),
@@ -306,11 +399,18 @@ def repeated_text(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .groupBy("text_key")
         .agg(F.collect_list("run").alias("runs"))
     )
-    cut = texts.select("text_key", "text").join(places, "text_key").mapInArrow(
-        _cut(length),
+    found = texts.select("text_key", "text").join(places, "text_key", "left" if words else "inner")
+    if words:
+        found = found.join(_word_places(texts, words), "text_key", "left")
+        found = found.where("runs is not null or firsts is not null")
+    cut = found.mapInArrow(
+        _cut(length, words),
         "text_key binary, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string",
     )
-    copied = keyed.where((F.col("copies") > 1) & (F.col("n_bytes") >= length)).select(
+    long = F.col("n_bytes") >= length
+    if words:
+        long |= F.col("n_words") >= words
+    copied = keyed.where((F.col("copies") > 1) & long).select(
         "text_key",
         F.col("n_bytes").alias("n_removed"),
         F.lit(1).cast("bigint").alias("n_spans"),
@@ -357,9 +457,12 @@ def _repeated(fragments, length):
     )
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` with repeated strings taken out of the text; all rows and columns stay."""
-    changed = repeated_text(docs, length).select(
+def without_repeats(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
+    """``docs`` with repeated strings taken out of the text; all rows and columns stay.
+
+    ``length`` and ``words`` as in ``repeated_text``.
+    """
+    changed = repeated_text(docs, length, words).select(
         F.col("text_key").alias("_changed"), "kept_text"
     )
     keyed = docs.withColumn("_key", text_key())

@@ -1,4 +1,6 @@
 import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,5 +74,52 @@ def test_odd_rows(spark):
         assert empty.count() == 0
 
 
+def test_short_passages_of_over_50_words_go(spark):
+    rnd = random.Random(9)
+    fresh = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    rows, want = [], {}
+    for k, n in enumerate([50, 51, 53, 57, 60, 51]):
+        passage = ["a", *[rnd.choice(["of", "the", "house", "it"]) + str(k) for _ in range(n - 1)]]
+        for copy in range(3):
+            head, tail = fresh(30), fresh(30)
+            # White space between the words does not matter; a longer place holds it too.
+            held = ("\n" if copy == 1 else " ").join(passage)
+            assert len(held) < 400
+            more = ["", " ".join(fresh(60)), ""][copy]
+            rows.append((len(rows), " ".join([*head, held, *tail, more]), "en", "s", 1))
+            want[rows[-1][0]] = " ".join([*head, held if n == 50 else "", *tail, more])
+    repeated = " ".join(["ha"] * 52)
+    rows += [(100, "x " + repeated + " y", "en", "s", 1), (101, " ".join(fresh(51)), "en", "s", 1)]
+    want |= {100: "x  y", 101: rows[-1][1]}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert texts(corpus_pipeline.suffix_dedup(spark, docs, SF)) == want
+
+
+def test_stage_matches_brute_force_of_bytes_and_words(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").dropDuplicates(["text"]).where("text is not null").collect()
+    raw = [r.text.encode() for r in rows]
+    spans = [[m.span() for m in re.finditer(rb"[^ \t\n\v\f\r]+", b)] for b in raw]
+    windows = [
+        (i, s[k][0], s[k + 50][1], tuple(b[x:y] for x, y in s[k : k + 51]))
+        for i, (b, s) in enumerate(zip(raw, spans))
+        for k in range(len(s) - 50)
+    ]
+    windows += [(i, k, k + 400, b[k : k + 400]) for i, b in enumerate(raw) for k in range(len(b) - 399)]
+    seen = Counter(w[3] for w in windows)
+    gone = [bytearray(len(b)) for b in raw]
+    for i, begin, end, held in windows:
+        if seen[held] > 1:
+            gone[i][begin:end] = b"\1" * (end - begin)
+    docs = spark.createDataFrame(rows, spark.read.parquet(f"{SF}/documents.parquet").schema)
+    got = texts(corpus_pipeline.suffix_dedup(spark, docs, SF))
+    for row, b, g in zip(rows, raw, gone):
+        kept, at = "", 0
+        for c in row.text:
+            size = len(c.encode())
+            kept += "" if all(g[at : at + size]) else c
+            at += size
+        assert got[row.doc_id] == kept
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
