@@ -34,6 +34,8 @@ BEGINNINGS = (3, 4, 5, 6, 7, 8)
 MOST_LABELLED = 4000
 MOST_FEATURES = 4096
 FOLDS = 5
+#: Words, and steps of words, that are searched at a time.
+MOST_WORDS, MOST_STEPS = 4096, 1_000_000
 
 
 @cache
@@ -87,80 +89,128 @@ def letter_model(docs: DataFrame) -> np.ndarray:
     return np.log(counts / counts.sum(axis=1, keepdims=True))
 
 
+@cache
+def _letter_step(letter, double):
+    return (letter,), False, double
+
+
+@cache
+def _sign_step(code, double):
+    return tuple(LETTERS.index(x) + 1 for x in SIGNS[chr(code)]), True, double
+
+
+_GAP_STEP = (), True, False
+
+
+def _runs(word):
+    """Begin and end of the runs of equal characters."""
+    cuts = np.append(np.flatnonzero(word[1:] != word[:-1]) + 1, len(word))
+    return np.append(0, cuts[:-1]), cuts
+
+
 def _lattice(word):
     """Steps of a word: (letters, may be dropped, may be double) after joining runs."""
     number, kind = _tables()[1], _tables()[2]
-    cuts = np.append(np.flatnonzero(word[1:] != word[:-1]) + 1, len(word))
-    steps, begin = [], 0
-    for end in cuts:
-        code, n = int(word[begin]), int(end - begin)
-        begin = end
+    steps = []
+    for begin, end in zip(*map(np.ndarray.tolist, _runs(word))):
+        code, n = int(word[begin]), end - begin
         if kind[code] == 1:
             letter = int(number[code])
-            steps += [((letter,), False, False)] * n if n < 3 else [((letter,), False, True)]
+            steps += [_letter_step(letter, False)] * n if n < 3 else [_letter_step(letter, True)]
         elif kind[code] == 2:
-            letters = tuple(LETTERS.index(x) + 1 for x in SIGNS[chr(code)])
-            steps += [(letters, True, n > 1)] if n != 2 else [(letters, True, False)] * 2
+            steps += [_sign_step(code, n > 1)] if n != 2 else [_sign_step(code, False)] * 2
         else:
-            steps.append(((), True, False))
+            steps.append(_GAP_STEP)
     return steps
 
 
 def decode(words, model):
-    """The most likely letters of each disguised word, as letter numbers."""
-    lattices = [_lattice(w) for w in words]
-    out = [None] * len(words)
-    order = sorted(range(len(words)), key=lambda i: len(lattices[i]))
+    """The most likely letters of each disguised word, as letter numbers.
+
+    A path has to pass every plain letter, so it is the best path from each of them
+    to the next; only the steps between are searched.
+    """
+    out = [[] for _ in words]
+    parts, places = [], []
+    for i, word in enumerate(words):
+        steps, before, open_steps = _lattice(word), 0, []
+        for step in [*steps, None]:
+            if step is not None and (step[1] or step[2]):
+                open_steps.append(step)
+                continue
+            letter = step[0][0] if step is not None else 0
+            if open_steps:
+                places.append((i, len(out[i])))
+                out[i].append(None)
+                parts.append((before, open_steps, letter))
+                open_steps = []
+            if step is not None:
+                out[i].append((letter,))
+            before = letter
+    order = sorted(range(len(parts)), key=lambda k: -len(parts[k][1]))
     at = 0
     while at < len(order):
-        longest = max(1, len(lattices[order[at]]))
-        most = max(1, 20_000 // (2 * longest))
+        # The first of a group is its longest.
+        most = max(1, min(MOST_WORDS, MOST_STEPS // len(parts[order[at]][1])))
         group = order[at : at + most]
         at += len(group)
-        for i, letters in zip(group, _viterbi([lattices[i] for i in group], model)):
-            out[i] = letters
-    return out
+        for k, letters in zip(group, _viterbi([parts[k] for k in group], model)):
+            i, place = places[k]
+            out[i][place] = letters
+    return [[x for part in word for x in part] for word in out]
+
 
+def _viterbi(parts, model):
+    """The letters of the best path of each part: (letter before, steps, letter after).
 
-def _viterbi(lattices, model):
-    n, steps = len(lattices), max(map(len, lattices))
+    A step leads to its one or two letters or leaves the state as it is, so two
+    sources and two numbers of letters are kept for each, 4 bytes in all.
+    """
+    n, steps = len(parts), max(len(p[1]) for p in parts)
     rows = np.arange(n)
     best = np.full((n, SIZE), -np.inf)
-    best[:, 0] = 0
-    back = np.zeros((steps, n, SIZE), np.uint8)
-    kind = np.zeros((steps, n, SIZE), np.uint8)
-    states = np.arange(SIZE, dtype=np.uint8)
+    best[rows, [p[0] for p in parts]] = 0
+    offered = np.zeros((steps, n, 2), np.uint8)
+    # Beyond its end a part stays as it is: kind 0. Kinds 1 and 2: letter, sign or gap.
+    kinds = np.zeros((steps, n), np.uint8)
+    doubles = np.zeros((steps, n), bool)
+    for i, (_, own, _) in enumerate(parts):
+        offered[: len(own), i, 0] = [x[0][0] if x[0] else 0 for x in own]
+        offered[: len(own), i, 1] = [x[0][1] if len(x[0]) > 1 else 0 for x in own]
+        kinds[: len(own), i] = [1 + x[1] for x in own]
+        doubles[: len(own), i] = [x[2] for x in own]
+    back = np.zeros((steps, n, 2), np.uint8)
+    count = np.zeros((steps, n, 2), np.uint8)
+    staying, costs = np.array([0.0, -np.inf, DROPPED]), np.array([0.0, 0.0, SUBSTITUTED])
     for t in range(steps):
-        own = [x[t] if t < len(x) else None for x in lattices]
-        # Beyond its end a word stays as it is.
-        stay = np.array([0.0 if x is None else DROPPED if x[1] else -np.inf for x in own])
-        new = best + stay[:, None]
-        back[t] = states
+        new = best + staying[kinds[t]][:, None]
+        cost = costs[kinds[t]]
         for k in range(2):
-            has = np.array([x is not None and len(x[0]) > k for x in own])
+            letter = offered[t, :, k].astype(np.int64)
+            has = letter > 0
             if not has.any():
                 continue
-            letter = np.array([x[0][k] if h else 0 for x, h in zip(own, has)])
-            cost = np.array([SUBSTITUTED if h and x[1] else 0.0 for x, h in zip(own, has)])
             score = best + model[:, letter].T
             source = score.argmax(axis=1)
             once = score[rows, source] + cost
-            double = np.array([h and x[2] for x, h in zip(own, has)])
-            twice = np.where(double, once + model[letter, letter], -np.inf)
+            twice = np.where(doubles[t], once + model[letter, letter], -np.inf)
             value = np.maximum(once, twice)
             better = has & (value > new[rows, letter])
             at = rows[better]
             new[at, letter[better]] = value[better]
-            back[t, at, letter[better]] = source[better]
-            kind[t, at, letter[better]] = np.where(twice > once, 2, 1)[better]
+            back[t, at, k] = source[better]
+            count[t, at, k] = np.where(twice > once, 2, 1)[better]
         best = new
-    state = (best + model[:, 0]).argmax(axis=1)
+    state = (best + model[:, [p[2] for p in parts]].T).argmax(axis=1)
     paths = [[] for _ in range(n)]
     for t in range(steps - 1, -1, -1):
-        how, source = kind[t, rows, state], back[t, rows, state]
-        for i in np.flatnonzero(how):
-            paths[i] += [int(state[i])] * int(how[i])
-        state = source
+        before = state.copy()
+        for k in range(2):
+            taken = (count[t, :, k] > 0) & (offered[t, :, k] == state)
+            for i in np.flatnonzero(taken):
+                paths[i] += [int(state[i])] * int(count[t, i, k])
+            before[taken] = back[t, taken, k]
+        state = before
     return [p[::-1] for p in paths]
 
 

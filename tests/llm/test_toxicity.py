@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -96,3 +97,18 @@ def test_held_out_accuracy(spark):
     assert sum(hit) >= 0.93 * len(hit)
     toxic = [r.predicted for r in got if r.toxic]
     assert sum(toxic) >= 0.7 * len(toxic)
+
+
+def test_long_tokens_need_little_memory(corpus):
+    rnd = random.Random(3)
+    model = letter_model(corpus[0])
+    shown = ["m0r0n", "1d10t", "w0rthl3$$"] * 100
+    for signs in ("abcdefghijklmnopqrstuvwxyz0123456789+", "0123456789"):
+        long = "".join(rnd.choice(signs) for _ in range(30_000))
+        codes = [np.array([ord(c) for c in w], np.uint32) for w in [*shown, long]]
+        tracemalloc.start()
+        found = decode(codes, model)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 50e6
+        assert found[:3] == decode(codes[:3], model) and len(found[-1]) > 0
