@@ -108,6 +108,24 @@ def _runs(word):
     return np.append(0, cuts[:-1]), cuts
 
 
+def _step_codes(word):
+    """The character of each step of a word's lattice."""
+    begins, ends = _runs(word)
+    size, kind = ends - begins, _tables()[2][word[begins]]
+    once = (kind == 1) & (size > 2) | (kind == 2) & (size != 2) | (kind != 1) & (kind != 2)
+    return np.repeat(word[begins], np.where(once, 1, size))
+
+
+def _restored(words, model):
+    """The characters of each disguised word; letters without a number keep their own."""
+    plain = np.array([0, *map(ord, LETTERS)] + [0] * (SIZE - 1 - len(LETTERS)), np.uint32)
+    out = []
+    for word, found in zip(words, _decoded(words, model)):
+        letters, steps = np.array(found, np.int64).reshape(-1, 2).T
+        out.append(np.where(letters == OTHER, _step_codes(word)[steps], plain[letters]))
+    return out
+
+
 def _lattice(word):
     """Steps of a word: (letters, may be dropped, may be double) after joining runs."""
     number, kind = _tables()[1], _tables()[2]
@@ -125,7 +143,12 @@ def _lattice(word):
 
 
 def decode(words, model):
-    """The most likely letters of each disguised word, as letter numbers.
+    """The most likely letters of each disguised word, as letter numbers."""
+    return [[letter for letter, _ in word] for word in _decoded(words, model)]
+
+
+def _decoded(words, model):
+    """The most likely letters of each disguised word, each with its step.
 
     A path has to pass every plain letter, so it is the best path from each of them
     to the next; only the steps between are searched.
@@ -134,18 +157,18 @@ def decode(words, model):
     parts, places = [], []
     for i, word in enumerate(words):
         steps, before, open_steps = _lattice(word), 0, []
-        for step in [*steps, None]:
+        for t, step in enumerate([*steps, None]):
             if step is not None and (step[1] or step[2]):
                 open_steps.append(step)
                 continue
             letter = step[0][0] if step is not None else 0
             if open_steps:
-                places.append((i, len(out[i])))
+                places.append((i, len(out[i]), t - len(open_steps)))
                 out[i].append(None)
                 parts.append((before, open_steps, letter))
                 open_steps = []
             if step is not None:
-                out[i].append((letter,))
+                out[i].append(((letter, t),))
             before = letter
     order = sorted(range(len(parts)), key=lambda k: -len(parts[k][1]))
     at = 0
@@ -155,15 +178,15 @@ def decode(words, model):
         group = order[at : at + most]
         at += len(group)
         for k, letters in zip(group, _viterbi([parts[k] for k in group], model)):
-            i, place = places[k]
-            out[i][place] = letters
+            i, place, first = places[k]
+            out[i][place] = [(letter, first + t) for letter, t in letters]
     return [[x for part in word for x in part] for word in out]
 
 
 def _viterbi(parts, model):
-    """The letters of the best path of each part: (letter before, steps, letter after).
+    """The letters of the best path of each part, each with its step.
 
-    A step leads to its one or two letters or leaves the state as it is, so two
+    A part is (letter before, steps, letter after). A step leads to its one or two letters or leaves the state as it is, so two
     sources and two numbers of letters are kept for each, 4 bytes in all.
     """
     n, steps = len(parts), max(len(p[1]) for p in parts)
@@ -208,73 +231,79 @@ def _viterbi(parts, model):
         for k in range(2):
             taken = (count[t, :, k] > 0) & (offered[t, :, k] == state)
             for i in np.flatnonzero(taken):
-                paths[i] += [int(state[i])] * int(count[t, i, k])
+                paths[i] += [(int(state[i]), t)] * int(count[t, i, k])
             before[taken] = back[t, taken, k]
         state = before
     return [p[::-1] for p in paths]
 
 
+def _tokens(stop, first):
+    """Begin and end of runs of characters outside ``stop``; texts begin at ``first``."""
+    begin = ~stop & (np.append(True, stop[:-1]) | first)
+    end = ~stop & np.append(stop[1:] | first[1:], True)
+    return np.flatnonzero(begin), np.flatnonzero(end) + 1
+
+
 def _disguised(codes, edges):
-    """Spans of disguised words: begin and end among the characters."""
+    """Spans of disguised words: begin and end among the characters.
+
+    Words end at blanks and at characters that are no letter, sign or gap. A word
+    with gaps is taken both whole and in the parts between its gaps.
+    """
     kind = _tables()[2][codes]
     n = len(codes)
-    space = kind == 4
-    begin = np.zeros(n, bool)
-    begin[1:] = space[:-1]
-    begin[edges[:-1][edges[:-1] < n]] = True
-    starts = np.flatnonzero(begin & ~space)
-    if not len(starts):
-        return starts, starts
-    stop = np.append(space[1:], True)
-    stop[edges[1:][edges[1:] > 0] - 1] = True
-    ends = np.flatnonzero(stop & ~space) + 1
-    size = ends - starts
-    letter, sign = kind == 1, kind == 2
-    sums = lambda x: np.diff(np.append(0, np.cumsum(x))[np.stack([starts, ends])], axis=0)[0]
-    letters = sums(letter)
-    # Signs and gaps count between letters, a sign before the first letter too.
-    inner = np.zeros(n, bool)
-    inner[1:-1] = sign[1:-1] & (letter[:-2] | letter[2:] | sign[:-2] | sign[2:]) if n > 2 else False
-    last_letter = np.maximum.accumulate(np.where(letter, np.arange(n), -1))[ends - 1]
-    signs = np.append(0, np.cumsum(inner))
-    signs = signs[np.maximum(last_letter + 1, starts)] - signs[starts]
-    tail = sums(np.isin(codes, [ord("$"), ord("@")]))
-    gaps = sums(kind == 3)
-    thrice = np.zeros(n, bool)
-    thrice[2:] = letter[2:] & (codes[2:] == codes[1:-1]) & (codes[1:-1] == codes[:-2])
-    runs = sums(thrice)
-    spelled = (gaps >= 2) & (2 * (letters + sums(sign)) <= 3 * gaps + 3)
-    odd = (letters > 0) & ((signs > 0) | ((tail > 0) & (tail < 3)) | (runs > 0) | spelled)
-    # Three or more single characters in a row are one word, spelled with blanks.
-    single = (size == 1) & (letters + sums(sign) == 1)
-    new_text = np.zeros(n + 1, bool)
-    new_text[edges] = True
-    joined = single[1:] & single[:-1] & (starts[1:] - ends[:-1] == 1) & ~new_text[starts[1:]]
-    run = np.flatnonzero(np.diff(joined.astype(np.int8), prepend=0, append=0))
-    run = run.reshape(-1, 2)
-    run = run[run[:, 1] - run[:, 0] >= 2]
-    return (
-        np.concatenate([starts[odd], starts[run[:, 0]]]),
-        np.concatenate([ends[odd], ends[run[:, 1]]]),
-    )
+    first = np.zeros(n, bool)
+    first[edges[:-1][edges[:-1] < n]] = True
+    letter, sign, gap = kind == 1, kind == 2, kind == 3
+    before = lambda x: np.append(False, x[:-1]) & ~first
+    after = lambda x: np.append(x[1:] & ~first[1:], False)
+    thrice = letter & before(letter & (codes == np.append(codes[:1], codes[:-1])) & before(letter))
+    thrice &= codes == np.append(codes[:1], codes[:-1])
+    touching = sign & (before(letter | sign) | after(letter | sign))
+    spans = []
+    for whole in (True, False):
+        stop = (kind == 4) | (kind == 0) | (gap & (not whole))
+        starts, ends = _tokens(stop, first)
+        if not len(starts):
+            return starts, starts
+        sums = lambda x: np.diff(np.append(0, np.cumsum(x))[np.stack([starts, ends])], axis=0)[0]
+        letters, signs, gaps = sums(letter), sums(sign), sums(gap)
+        # Signs and gaps count between letters, a sign before the first letter too.
+        last_letter = np.maximum.accumulate(np.where(letter, np.arange(n), -1))[ends - 1]
+        inner = np.append(0, np.cumsum(touching))
+        inner = inner[np.maximum(last_letter + 1, starts)] - inner[starts]
+        tail = sums((codes == ord("$")) | (codes == ord("@")))
+        odd = (inner > 0) | ((tail > 0) & (tail < 3)) | (sums(thrice) > 0)
+        if whole:
+            odd |= (gaps >= 2) & (2 * (letters + signs) <= 3 * gaps + 3)
+            odd &= gaps > 0
+            # Three or more single characters in a row are one word, spelled with blanks.
+            single = (ends - starts == 1) & (letters + signs == 1)
+            joined = single[1:] & single[:-1] & (starts[1:] - ends[:-1] == 1) & ~first[starts[1:]]
+            joined &= kind[ends[:-1]] == 4
+            run = np.flatnonzero(np.diff(joined.astype(np.int8), prepend=0, append=0)).reshape(-1, 2)
+            run = run[run[:, 1] - run[:, 0] >= 2]
+            spans.append((starts[run[:, 0]], ends[run[:, 1]]))
+        odd &= letters > 0
+        spans.append((starts[odd], ends[odd]))
+    return tuple(np.concatenate(x) for x in zip(*spans))
 
 
 def _features(column, model):
-    """For each text: the sorted hashes of its restored words and their beginnings."""
+    """For each text: hashes of its words and their beginnings, as written and restored."""
     for first, last, data, offsets in pieces(column):
         codes, edges = _codes(data, offsets)
         begins, ends = _disguised(codes, edges)
         owner = np.searchsorted(edges, begins, "right") - 1
-        letter = _tables()[2][codes] == 1
-        for b, e in zip(begins, ends):
-            letter[b:e] = False
-        words, of = _hashes(codes, letter, edges)
+        words, of = _hashes(codes, _tables()[2][codes] == 1, edges)
         if len(begins):
-            decoded = decode([codes[b:e] for b, e in zip(begins, ends)], model)
-            plain = np.array([0, *map(ord, LETTERS)] + [0] * (SIZE - 1 - len(LETTERS)), np.uint32)
-            flat = [plain[np.array(d, np.int64)] for d in decoded]
+            names = [codes[b:e].tobytes() for b, e in zip(begins, ends)]
+            different = {name: None for name in names}
+            restored = _restored([np.frombuffer(x, np.uint32) for x in different], model)
+            found = dict(zip(different, restored))
+            flat = [found[name] for name in names]
             cut = np.cumsum([0, *[len(f) for f in flat]])
-            joined = np.concatenate(flat) if cut[-1] else np.zeros(0, np.uint32)
+            joined = np.concatenate(flat).astype(np.uint32)
             more, row = _hashes(joined, joined > 0, cut)
             words, of = np.concatenate([words, more]), np.concatenate([of, owner[row]])
         yield first, last, words, of

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from courtstats.llm.queries import QUERIES
-from courtstats.llm.toxicity import LETTERS, decode, letter_model, score_texts, without_toxic
+from courtstats.llm.toxicity import LETTERS, _codes, _disguised, _restored, decode, letter_model, score_texts, without_toxic
 
 SF = "/root/testdata/sf0.01"
 BAD = ["idiot", "pathetic", "moron", "worthless"]
@@ -112,3 +112,37 @@ def test_long_tokens_need_little_memory(corpus):
         tracemalloc.stop()
         assert peak < 50e6
         assert found[:3] == decode(codes[:3], model) and len(found[-1]) > 0
+
+
+def restored(text, model):
+    """The words that stand in the features of a text besides its plain ones."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    codes, edges = _codes(data, np.array([0, len(data)]))
+    found = _restored([codes[b:e] for b, e in zip(*_disguised(codes, edges))], model)
+    return ["".join(map(chr, x)) for x in found]
+
+
+def test_tokens_keep_their_plain_words_and_other_letters(corpus, spark):
+    docs, labels = corpus
+    model = letter_model(docs)
+    assert "idiot" in restored("the idea.1d10t", model) and "idiot" in restored("seven,1d10t,there", model)
+    assert restored("приветтт", model)[0] in ("привет", "приветт")
+    assert any(x.startswith("今天天气") and x.endswith("很好") for x in restored("今天天气2024很好。你好", model))
+    shown = ["idiot,you,are,sooo,dumb", "idiot...l00k", "the...1d10t...house", "house/1d10t/late", "今天。idiot。2024年很好", "worthless;th3re"]
+    rows = [(1000 + i, " ".join([*words(20, i), w, *words(20, i + 50)])) for i, w in enumerate(shown)]
+    more = spark.createDataFrame(rows, "doc_id long, text string")
+    by = {r.doc_id: r.predicted for r in score_texts(docs.unionByName(more), labels).collect()}
+    assert [by[r[0]] for r in rows] == [1] * len(rows)
+
+
+def test_other_scripts_are_learnt(spark):
+    rows = []
+    for i in range(400):
+        own = [["погода", "сегодня", "хорошая", "город"][(i * 7 + k * k) % 4] for k in range(20)]
+        if i % 4 == 0:
+            own[i % 20] = "дурак1" + "у" * 3 + "дурак"
+        rows.append((i, " ".join(own), int(i % 4 == 0)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    got = score_texts(docs, labels).collect()
+    assert all(r.predicted == (r.doc_id % 4 == 0) for r in got)
