@@ -116,16 +116,6 @@ def _step_codes(word):
     return np.repeat(word[begins], np.where(once, 1, size))
 
 
-def _restored(words, model):
-    """The characters of each disguised word; letters without a number keep their own."""
-    plain = np.array([0, *map(ord, LETTERS)] + [0] * (SIZE - 1 - len(LETTERS)), np.uint32)
-    out = []
-    for word, found in zip(words, _decoded(words, model)):
-        letters, steps = np.array(found, np.int64).reshape(-1, 2).T
-        out.append(np.where(letters == OTHER, _step_codes(word)[steps], plain[letters]))
-    return out
-
-
 def _lattice(word):
     """Steps of a word: (letters, may be dropped, may be double) after joining runs."""
     number, kind = _tables()[1], _tables()[2]
@@ -142,12 +132,28 @@ def _lattice(word):
     return steps
 
 
+def _restored(words, model, lattice):
+    """The characters of each disguised word; letters without a number keep their own."""
+    plain = np.array([0, *map(ord, LETTERS)] + [0] * (SIZE - 1 - len(LETTERS)), np.uint32)
+    out = []
+    for word, found in zip(words, _decoded(words, model, lattice)):
+        letters, steps = np.array(found, np.int64).reshape(-1, 2).T
+        out.append(np.where(letters == OTHER, _step_codes(word)[steps], plain[letters]))
+    return out
+
+
 def decode(words, model):
     """The most likely letters of each disguised word, as letter numbers."""
     return [[letter for letter, _ in word] for word in _decoded(words, model)]
 
 
-def _decoded(words, model):
+def _ending(steps):
+    """Steps of a word whose signs behind the last letter all stand for letters."""
+    at = max((t + 1 for t, x in enumerate(steps) if x[0] and not x[1]), default=0)
+    return steps[:at] + [(x[0], False, x[2]) if x[0] else x for x in steps[at:]]
+
+
+def _decoded(words, model, lattice=_lattice):
     """The most likely letters of each disguised word, each with its step.
 
     A path has to pass every plain letter, so it is the best path from each of them
@@ -156,9 +162,9 @@ def _decoded(words, model):
     out = [[] for _ in words]
     parts, places = [], []
     for i, word in enumerate(words):
-        steps, before, open_steps = _lattice(word), 0, []
+        steps, before, open_steps = lattice(word), 0, []
         for t, step in enumerate([*steps, None]):
-            if step is not None and (step[1] or step[2]):
+            if step is not None and (step[1] or step[2] or len(step[0]) > 1):
                 open_steps.append(step)
                 continue
             letter = step[0][0] if step is not None else 0
@@ -248,7 +254,8 @@ def _disguised(codes, edges):
     """Spans of disguised words: begin and end among the characters.
 
     Words end at blanks and at characters that are no letter, sign or gap. A word
-    with gaps is taken both whole and in the parts between its gaps.
+    with gaps is taken both whole and in the parts between its gaps. Two signs in a
+    row are a word even without letters.
     """
     kind = _tables()[2][codes]
     n = len(codes)
@@ -268,15 +275,11 @@ def _disguised(codes, edges):
             return starts, starts
         sums = lambda x: np.diff(np.append(0, np.cumsum(x))[np.stack([starts, ends])], axis=0)[0]
         letters, signs, gaps = sums(letter), sums(sign), sums(gap)
-        # Signs and gaps count between letters, a sign before the first letter too.
-        last_letter = np.maximum.accumulate(np.where(letter, np.arange(n), -1))[ends - 1]
-        inner = np.append(0, np.cumsum(touching))
-        inner = inner[np.maximum(last_letter + 1, starts)] - inner[starts]
-        tail = sums((codes == ord("$")) | (codes == ord("@")))
-        odd = (inner > 0) | ((tail > 0) & (tail < 3)) | (sums(thrice) > 0)
+        # A sign counts wherever it touches a letter or another sign.
+        odd = (sums(touching) > 0) | (sums(thrice) > 0)
         if whole:
             odd |= (gaps >= 2) & (2 * (letters + signs) <= 3 * gaps + 3)
-            odd &= gaps > 0
+            odd &= (gaps > 0) & (letters + signs > 0)
             # Three or more single characters in a row are one word, spelled with blanks.
             single = (ends - starts == 1) & (letters + signs == 1)
             joined = single[1:] & single[:-1] & (starts[1:] - ends[:-1] == 1) & ~first[starts[1:]]
@@ -284,11 +287,30 @@ def _disguised(codes, edges):
             run = np.flatnonzero(np.diff(joined.astype(np.int8), prepend=0, append=0)).reshape(-1, 2)
             run = run[run[:, 1] - run[:, 0] >= 2]
             spans.append((starts[run[:, 0]], ends[run[:, 1]]))
-        odd &= letters > 0
         spans.append((starts[odd], ends[odd]))
     return tuple(np.concatenate(x) for x in zip(*spans))
 
 
+def _readings(codes, begins, ends, model):
+    """Restored words and the number of the span of each.
+
+    A word with signs behind its last letter is read twice: as the lattice judges
+    them, and with all of them for letters, because dropping the last sign of a
+    word often looks as likely.
+    """
+    names = [codes[b:e].tobytes() for b, e in zip(begins, ends)]
+    different = {name: None for name in names}
+    words = [np.frombuffer(x, np.uint32) for x in different]
+    kinds = [_tables()[2][w] for w in words]
+    signed = [bool((k[(k == 1).nonzero()[0].max(initial=-1) + 1 :] == 2).any()) for k in kinds]
+    found = {name: [x] for name, x in zip(different, _restored(words, model, _lattice))}
+    again = [w for w, x in zip(words, signed) if x]
+    for w, x in zip(again, _restored(again, model, lambda w: _ending(_lattice(w)))):
+        found[w.tobytes()].append(x)
+    flat = [x for name in names for x in found[name]]
+    return flat, np.repeat(np.arange(len(names)), [len(found[name]) for name in names])
+
+
 def _features(column, model):
     """For each text: hashes of its words and their beginnings, as written and restored."""
     for first, last, data, offsets in pieces(column):
@@ -297,11 +319,8 @@ def _features(column, model):
         owner = np.searchsorted(edges, begins, "right") - 1
         words, of = _hashes(codes, _tables()[2][codes] == 1, edges)
         if len(begins):
-            names = [codes[b:e].tobytes() for b, e in zip(begins, ends)]
-            different = {name: None for name in names}
-            restored = _restored([np.frombuffer(x, np.uint32) for x in different], model)
-            found = dict(zip(different, restored))
-            flat = [found[name] for name in names]
+            flat, span = _readings(codes, begins, ends, model)
+            owner = owner[span]
             cut = np.cumsum([0, *[len(f) for f in flat]])
             joined = np.concatenate(flat).astype(np.uint32)
             more, row = _hashes(joined, joined > 0, cut)

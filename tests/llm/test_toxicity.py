@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from courtstats.llm.queries import QUERIES
-from courtstats.llm.toxicity import LETTERS, _codes, _disguised, _restored, decode, letter_model, score_texts, without_toxic
+from courtstats.llm.toxicity import LETTERS, _codes, _disguised, _readings, decode, letter_model, score_texts, without_toxic
 
 SF = "/root/testdata/sf0.01"
 BAD = ["idiot", "pathetic", "moron", "worthless"]
@@ -118,7 +118,7 @@ def restored(text, model):
     """The words that stand in the features of a text besides its plain ones."""
     data = np.frombuffer(text.encode(), np.uint8)
     codes, edges = _codes(data, np.array([0, len(data)]))
-    found = _restored([codes[b:e] for b, e in zip(*_disguised(codes, edges))], model)
+    found = _readings(codes, *_disguised(codes, edges), model)[0]
     return ["".join(map(chr, x)) for x in found]
 
 
@@ -146,3 +146,28 @@ def test_other_scripts_are_learnt(spark):
     labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
     got = score_texts(docs, labels).collect()
     assert all(r.predicted == (r.doc_id % 4 == 0) for r in got)
+
+
+def test_signs_at_the_end_and_words_of_signs_count(corpus, spark):
+    docs, labels = corpus
+    more = ["dunno", "disgusting", "ass"]
+    rows = [(500 + i, " ".join([*words(20, i), more[i % 3], *words(20, i + 70)])) for i in range(120)]
+    seen = spark.createDataFrame([(d, 1, 0) for d, _ in rows], "doc_id long, toxic int, score int")
+    shown = ["worthles5", "p4th3tic", "disgustin9", "disgustin6", "455", "@$5", "4.5.5", "a5$", "as5", "moron!!"]
+    rows += [(1000 + i, " ".join([*words(20, i), w, *words(20, i + 50)])) for i, w in enumerate(shown)]
+    # The last character of all texts, and of a text before one that begins with a letter.
+    rows += [(1100, "seven often a5$"), (1101, "the house as5")]
+    rows += [(2000 + i, " ".join(words(40, 900 + i)) + t) for i, t in enumerate([" the!!", " 3rd", " 7 8", " house! late!"])]
+    all_docs = docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string")).coalesce(1)
+    by = {r.doc_id: r.predicted for r in score_texts(all_docs, labels.unionByName(seen)).collect()}
+    assert [i for i, w in enumerate(shown) if not by[1000 + i]] == []
+    assert by[1100] == by[1101] == 1
+    assert [by[2000 + i] for i in range(4)] == [0] * 4
+
+
+def test_last_sign_of_a_word(corpus):
+    model = letter_model(corpus[0])
+    pairs = {"idio7": "idiot", "idio+": "idiot", "worthles5": "worthless", "455": "ass", "disgustin9": "disgusting"}
+    for word, meant in pairs.items():
+        assert meant in restored(word, model) and meant in restored("the " + word + ", house", model)
+    assert restored("the house - 7 ...", model) == [] and "house" in restored("house!", model)
