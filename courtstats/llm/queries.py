@@ -1,6 +1,7 @@
 """The registered queries of this subpackage, with the SQL that checks them."""
 
 from courtstats.llm.decontaminate import contamination
+from courtstats.llm.merkle import ARITY, FIELDS, verified_manifest
 from courtstats.llm.minhash import near_duplicates
 from courtstats.llm.packing import pack
 from courtstats.llm.quality import LEAST_WORDS, MOST_REPEATED, RULES, STOP_WORDS, quality
@@ -199,3 +200,94 @@ def op2(spark, sf_dir):
     """Tool calls derived from the conversations, linked with their results."""
     turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     return tool_messages(*derived_traffic(turns), SCHEMAS)
+
+
+#: Levels of the trees in the checking SQL: enough for 16 ** 6 leaves of a group.
+_LEVELS = 6
+
+
+def _leaf_sql(text):
+    parts = [
+        f"case when {c} is null then '-' else concat(strlen({c}::varchar), ':', {c}) end"
+        for c in [*FIELDS[:-1], text]
+    ]
+    return f"sha256(concat({', '.join(parts)}))"
+
+
+def _tree_sql(name, leaves):
+    """Nodes of every level, and the children of every node in a list."""
+    steps = [f"{name}0 as ({leaves})"]
+    for k in range(_LEVELS):
+        steps.append(
+            f"{name}_run{k} as (select grp, rank // {ARITY} as rank, n,"
+            f" list(digest order by rank) as kids from {name}{k} group by 1, 2, 3)"
+        )
+        steps.append(
+            f"{name}{k + 1} as (select grp, rank, (n + {ARITY - 1}) // {ARITY} as n,"
+            f" case when n = 1 then kids[1] else sha256(array_to_string(kids, '')) end as digest"
+            f" from {name}_run{k})"
+        )
+    return steps
+
+
+def _climb_sql(name, source, rank):
+    """From a row's node to the root of its tree: siblings and folded digest."""
+    steps = []
+    for k in range(_LEVELS):
+        place = f"({rank} // {ARITY**k})"
+        before = f"array_to_string(r.kids[: {place} % {ARITY}], '')"
+        after = f"array_to_string(r.kids[{place} % {ARITY} + 2 :], '')"
+        steps.append(
+            f"{name}_up{k} as (select s.* exclude (proof, folded), proof || {before} || {after} as proof,"
+            f" case when r.n = 1 then folded else sha256({before} || folded || {after}) end as folded"
+            f" from {source} s join {name}_run{k} r on r.rank = {place} // {ARITY}"
+            f" and r.grp is not distinct from s.{name}_grp)"
+        )
+        source = f"{name}_up{k}"
+    return steps
+
+
+_CRC_SQL = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::bigint, list_transform(range(1, length(doc_id::varchar) + 1),
+        lambda i: ascii(substr(doc_id::varchar, i, 1))::bigint)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+        lambda v, bit: xor(v >> 1, (v & 1) * 3988292384))))"""
+_LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_MANIFEST_SQL = ", ".join(
+    [
+        f"""d as (select doc_id, source, {_leaf_sql("text")} as leaf,
+            case when {_CRC_SQL} % 5 = 0 then {_leaf_sql(_LOWER_SQL)} end as other from documents),
+        o as (select *, row_number() over
+            (partition by source order by doc_id nulls first, leaf) - 1 as leaf_rank from d)""",
+        *_tree_sql(
+            "a",
+            "select source as grp, leaf_rank as rank, leaf as digest, count(*) over (partition by source) as n from o",
+        ),
+        *_tree_sql(
+            "b",
+            "select null::varchar as grp, row_number() over (order by grp nulls first) - 1 as rank,"
+            f" digest, count(*) over () as n from a{_LEVELS}",
+        ),
+        f"""g as (select row_number() over (order by grp nulls first) - 1 as top, grp, digest
+            from a{_LEVELS})""",
+        """s as (select o.*, o.source as a_grp, null::varchar as b_grp, g.top, g.digest as subroot,
+            '' as proof, coalesce(other, leaf) as folded
+            from o join g on g.grp is not distinct from o.source)""",
+        *_climb_sql("a", "s", "leaf_rank"),
+        *_climb_sql("b", f"a_up{_LEVELS - 1}", "top"),
+    ]
+)
+
+
+@query(
+    "op11_merkle_manifest",
+    f"""
+    with {_MANIFEST_SQL}
+    select doc_id, leaf, subroot, b.digest as root, sha256(proof) as proof_sha256,
+        folded as folded_root, folded = b.digest as verified
+    from b_up{_LEVELS - 1}, b{_LEVELS} b
+    """,
+)
+def op11(spark, sf_dir):
+    """Proofs of the documents under one root, some of them tampered with."""
+    return verified_manifest(table(spark, sf_dir, "documents", *FIELDS))
