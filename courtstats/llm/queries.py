@@ -6,6 +6,7 @@ from courtstats.llm.minhash import near_duplicates
 from courtstats.llm.packing import pack
 from courtstats.llm.quality import LEAST_WORDS, MOST_REPEATED, RULES, STOP_WORDS, quality
 from courtstats.llm.suffix_dedup import repeat_report
+from courtstats.llm.super_kmers import earlier_windows
 from courtstats.llm.tables import table
 from courtstats.llm.token_counts import token_counts
 from courtstats.llm.tool_calls import SCHEMAS, derived_traffic, tool_messages
@@ -291,3 +292,9 @@ _MANIFEST_SQL = ", ".join(
 def op11(spark, sf_dir):
     """Proofs of the documents under one root, some of them tampered with."""
     return verified_manifest(table(spark, sf_dir, "documents", *FIELDS))
+
+
+@query("op12_super_kmer_dedup")
+def op12(spark, sf_dir):
+    """Words of the documents that windows of 13 words of earlier documents cover."""
+    return earlier_windows(table(spark, sf_dir, "documents", "doc_id", "text"))
