@@ -12,6 +12,7 @@ from courtstats.llm.token_counts import token_counts
 from courtstats.llm.tool_calls import SCHEMAS, derived_traffic, tool_messages
 from courtstats.llm.toxicity import score_texts
 from courtstats.llm.url_filter import filter_urls
+from courtstats.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE, vector_codes
 from courtstats.llm.warc import archived
 
 QUERIES = {}
@@ -298,3 +299,54 @@ def op11(spark, sf_dir):
 def op12(spark, sf_dir):
     """Words of the documents that windows of 13 words of earlier documents cover."""
     return earlier_windows(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def _assigned_sql(book):
+    return f"""select row, part, entry, distance from (
+            select row, x.part, entry, sum((x.value - b.value) * (x.value - b.value)) as distance
+            from x join {book} b on x.part = b.part and x.dim = b.dim group by all)
+        qualify row_number() over (partition by row, part order by distance, entry) = 1"""
+
+
+_BOOKS_SQL = ", ".join(
+    f"""a{k} as materialized ({_assigned_sql(f"b{k}")}),
+    b{k + 1} as materialized (
+        select b.part, entry, b.dim, coalesce(s.value, b.value) as value
+        from b{k} b left join (
+            select a.part, a.entry, x.dim, (sum(x.value) - (sum(x.value) % count(*) + count(*)) % count(*))
+                // count(*) as value
+            from a{k} a join x on x.row = a.row and x.part = a.part group by all
+        ) s using (part, entry, dim))"""
+    for k in range(ROUNDS)
+)
+
+
+@query(
+    "op13_vector_codes",
+    f"""
+    with k as materialized (
+        select vec_id, label, row_number() over (order by vec_id) - 1 as row,
+            list_transform(embedding, lambda x: floor({SCALE} * x::double)::bigint) as v
+        from embeddings where embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), x as materialized (
+        select row, (i - 1) // (n // {PARTS}) as part, (i - 1) % (n // {PARTS}) as dim, value
+        from (select row, len(v) as n, unnest(v) as value, unnest(range(1, len(v) + 1)) as i from k)
+    ), b0 as (
+        select part, row as entry, dim, value from x where row < {ENTRIES}
+    ), {_BOOKS_SQL},
+    f as ({_assigned_sql(f"b{ROUNDS}")}),
+    c as (
+        select row, string_agg(format('{{:02x}}', entry), '' order by part) as code,
+            sum(distance)::bigint as error
+        from f group by row
+    )
+    select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+        (select sha256(string_agg(value::varchar, ',' order by part, entry, dim)) from b{ROUNDS})
+            as codebooks_sha256
+    from k join c using (row)
+    """,
+)
+def op13(spark, sf_dir):
+    """The embeddings as codes of four entries, with their errors."""
+    return vector_codes(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
