@@ -30,13 +30,24 @@ GRAM = 7
 #: A task sorts whole buckets of about this many bytes at a time.
 PART_BYTES = 4 << 20
 #: Beyond this, windows of a bucket are dealt out by themselves.
-HOT_BYTES = 1 << 20
+HOT_BYTES = 1 << 17
 #: What a task puts into one batch.
 BATCH_BYTES = 4 << 20
+#: Keys of super-k-mers that a task remembers.
+_MOST_SEEN = 200_000
 _POSITION = np.uint64((1 << 32) - 1)
 _NONE = np.iinfo(np.int64).max
 
 
+def _digest(held):
+    """128 bits of a strong digest, as ``_text_key`` gives them for a text."""
+    return hashlib.sha256(held).digest()[:16]
+
+
+def _text_key():
+    return F.substring(F.unhex(F.sha2(F.col("text").cast("binary"), 256)), 1, 16)
+
+
 def super_kmers(words, counts, window=WINDOW, gram=GRAM):
     """First window, last window and bucket of every super-k-mer.
 
@@ -118,46 +129,50 @@ def _batches(names, types, rows, size):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names)
 
 
-def _read(window):
-    """``doc_id, text_key, n_words, kept_sha256, buckets`` of every row."""
+def _keyed(window):
+    """``doc_id, text_key, buckets`` of every row with a window."""
 
     def rows(batches):
         for batch in batches:
-            for i, (data, starts, ends, _, _, bucket) in enumerate(_texts(batch.column(1), window)):
-                kept = hashlib.sha256(_joined(data, starts, ends)[0]).hexdigest()
-                key = hashlib.sha256(data.tobytes()).digest()
-                yield batch.column(0)[i].as_py(), key, len(starts), kept, np.unique(bucket)
+            for i, (data, starts, _, _, _, bucket) in enumerate(_texts(batch.column(1), window)):
+                if len(starts) >= window:
+                    yield batch.column(0)[i].as_py(), _digest(data.tobytes()), np.unique(bucket)
 
     def run(batches):
         return _batches(
-            ["doc_id", "text_key", "n_words", "kept_sha256", "buckets"],
-            [pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.list_(pa.int64())],
+            ["doc_id", "text_key", "buckets"],
+            [pa.int64(), pa.binary(), pa.list_(pa.int64())],
             rows(batches),
-            lambda row: 150 + row[4].nbytes,
+            lambda row: 50 + row[2].nbytes,
         )
 
     return run
 
 
 def _packed(window):
-    """The wanted super-k-mers of every text."""
+    """The wanted super-k-mers of every text; a task holds out those it sent before."""
 
     def rows(batches):
+        seen = set()
         for batch in batches:
             for i, (data, starts, ends, low, high, bucket) in enumerate(_texts(batch.column(2), window)):
                 at = np.flatnonzero(np.isin(bucket, np.array(batch.column(3)[i].as_py(), np.int64)))
                 held, to = _joined(data, starts, ends)
-                key, doc = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                for j in at:
-                    part = held[to[low[j]] : to[high[j] + window] - 1]
-                    yield bucket[j], hashlib.sha256(part).digest(), part, key, doc, low[j]
+                text, doc = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                for j, b, first, last in zip(at, bucket[at], low[at], high[at]):
+                    part = held[to[first] : to[last + window] - 1]
+                    key = _digest(part)
+                    yield b, key, None if key in seen else part, text, doc, first
+                    seen.add(key)
+            if len(seen) > _MOST_SEEN:
+                seen.clear()
 
     def run(batches):
         return _batches(
             ["bucket", "packed_key", "packed", "text_key", "doc", "start"],
             [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()],
             rows(batches),
-            lambda row: 150 + len(row[2]),
+            lambda row: 150 + len(row[2] or b""),
         )
 
     return run
@@ -186,40 +201,37 @@ def smallest_documents(packed, documents, window=WINDOW):
     least = np.minimum.reduceat(np.repeat(documents, many)[order], np.flatnonzero(new))
     found = np.empty(len(at), np.int64)
     found[order] = least[np.cumsum(new) - 1]
-    return np.split(found, np.cumsum(many)[:-1])
+    return found, many
 
 
 def _sorted_buckets(window):
     """``packed_key, least``: the smallest document of each window, bucket by bucket."""
 
     def part(rows):
-        table = pa.Table.from_batches(rows)
-        packed = table.column(2).to_pylist()
-        least = smallest_documents(packed, table.column(3).to_numpy(), window)
-        most = table.column(4).to_pylist()
-        kept = [i for i, m in enumerate(most) if least[i].min() < m]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([table.column(1)[i].as_py() for i in kept], pa.binary()),
-                pa.array([least[i] for i in kept], pa.list_(pa.int64())),
-            ],
-            ["packed_key", "least"],
+        table = pa.Table.from_batches(rows).combine_chunks()
+        least, many = smallest_documents(table.column(2).to_pylist(), table.column(3).to_numpy(), window)
+        begins = np.cumsum(many) - many
+        kept = np.minimum.reduceat(least, begins) < table.column(4).to_numpy()
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.append(0, np.cumsum(many[kept])), pa.int32()), pa.array(least[np.repeat(kept, many)])
         )
+        keys = table.column(1).filter(pa.array(kept)).combine_chunks()
+        return pa.RecordBatch.from_arrays([keys, lists], ["packed_key", "least"])
 
     def run(batches):
-        held, size, last = [], 0, None
+        held, size = [], 0
         for batch in batches:
             buckets = batch.column(0).to_numpy()
-            edges = np.append(np.flatnonzero(buckets[1:] != buckets[:-1]) + 1, len(buckets))
-            sizes = np.cumsum(np.append(0, np.diff(bytes_of(batch.column(2))[1])))
-            begin = 0
-            for edge in edges if len(buckets) else []:
-                if held and size > PART_BYTES and last != buckets[begin]:
-                    yield part(held)
-                    held, size = [], 0
-                held.append(batch.slice(begin, edge - begin))
-                size += int(sizes[edge] - sizes[begin])
-                begin, last = edge, buckets[edge - 1]
+            edges = np.flatnonzero(buckets[1:] != buckets[:-1]) + 1
+            if held and batch.num_rows and held[-1].column(0)[-1].as_py() != buckets[0]:
+                edges = np.append(0, edges)
+            if size > PART_BYTES and len(edges):
+                # Whole buckets up to the last that begins here.
+                yield part([*held, batch.slice(0, edges[-1])])
+                held, size, batch = [], 0, batch.slice(edges[-1])
+            if batch.num_rows:
+                held.append(batch)
+                size += int(np.diff(bytes_of(batch.column(2))[1]).sum())
         if held:
             yield part(held)
 
@@ -234,8 +246,7 @@ def _single(window):
             for key, held, least, most in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 to = np.append(0, np.flatnonzero(np.frombuffer(held + b" ", np.uint8) == 0x20) + 1)
                 for offset in range(len(to) - window):
-                    digest = hashlib.sha256(held[to[offset] : to[offset + window] - 1]).digest()
-                    yield digest, key, offset, least, most
+                    yield _digest(held[to[offset] : to[offset + window] - 1]), key, offset, least, most
 
     def run(batches):
         return _batches(
@@ -252,7 +263,7 @@ def _least_of_windows(places: DataFrame, window: int) -> DataFrame:
     """``packed_key, least``: for super-k-mers with a window of a smaller document."""
     different = stage(
         places.groupBy("bucket", "packed_key").agg(
-            F.first("packed").alias("packed"), F.min("doc").alias("least"), F.max("doc").alias("most")
+            F.first("packed", True).alias("packed"), F.min("doc").alias("least"), F.max("doc").alias("most")
         ),
         "super-k-mers",
     )
@@ -341,20 +352,16 @@ def earlier_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Other columns are not read.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    read = stage(
-        texts.mapInArrow(
-            _read(window),
-            "doc_id bigint, text_key binary, n_words bigint, kept_sha256 string, buckets array<bigint>",
-        ),
-        "read",
-    )
     keyed = stage(
-        read.where((F.col("n_words") >= window) & F.col("doc_id").isNotNull())
+        texts.where("doc_id is not null")
+        .mapInArrow(_keyed(window), "doc_id bigint, text_key binary, buckets array<bigint>")
         .groupBy("text_key")
         .agg(F.min("doc_id").alias("doc"), F.max("doc_id").alias("last"), F.first("buckets").alias("buckets")),
         "keyed",
     )
-    each = keyed.select(F.xxhash64("text_key").alias("id"), "doc", F.explode("buckets").alias("bucket"))
+    # Two texts with one number only make each other's buckets candidates.
+    number = F.xxhash64("text_key").alias("id")
+    each = keyed.select(number, "doc", F.explode("buckets").alias("bucket"))
     shared = stage(
         each.groupBy("bucket")
         .agg(F.min("doc").alias("a"), F.max("doc").alias("b"))
@@ -362,13 +369,11 @@ def earlier_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .select("bucket"),
         "shared",
     )
-    wanted = stage(each.join(shared, "bucket").groupBy("id").agg(F.collect_list("bucket").alias("wanted")), "wanted")
-    ids = keyed.select("text_key", "doc", F.xxhash64("text_key").alias("id")).join(wanted, "id")
-    whole = (
-        texts.select(F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("text_key"), "text")
-        .groupBy("text_key")
-        .agg(F.first("text").alias("text"))
+    wanted = each.select("id", "bucket").join(shared, "bucket").groupBy("id").agg(
+        F.collect_list("bucket").alias("wanted")
     )
+    ids = keyed.select("text_key", "doc", number).join(wanted, "id")
+    whole = texts.groupBy(_text_key().alias("text_key")).agg(F.first("text").alias("text"))
     held = stage(whole.join(ids, "text_key").select("text_key", "doc", "text", "wanted"), "texts")
     places = stage(
         held.mapInArrow(
@@ -398,18 +403,25 @@ def earlier_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .select("text_key", "doc", F.col("n_removed").alias("cut"), F.col("kept_sha256").alias("left")),
         "changed",
     )
-    later = F.col("doc_id") > F.col("doc")
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
+    rows = texts.select("doc_id", _text_key().alias("text_key"), words.alias("words")).select(
+        "doc_id",
+        "text_key",
+        F.size("words").cast("bigint").alias("n_words"),
+        F.sha2(F.array_join("words", " ").cast("binary"), 256).alias("whole"),
+    )
     own = F.col("doc_id").isNotNull()
-    return read.join(changed, "text_key", "left").select(
+    later = own & (F.col("doc_id") > F.col("doc"))
+    cut_here = own & F.col("cut").isNotNull()
+    return rows.join(changed, "text_key", "left").select(
         "doc_id",
         "n_words",
-        F.when(own & later, F.col("n_words"))
-        .when(own & F.col("cut").isNotNull(), F.col("cut"))
-        .otherwise(F.lit(0))
-        .cast("bigint")
+        F.when(later, F.col("n_words"))
+        .when(cut_here, F.col("cut"))
+        .otherwise(F.lit(0).cast("bigint"))
         .alias("n_removed"),
-        F.when(own & later, F.lit(hashlib.sha256(b"").hexdigest()))
-        .when(own & F.col("cut").isNotNull(), F.col("left"))
-        .otherwise(F.col("kept_sha256"))
+        F.when(later, F.lit(hashlib.sha256(b"").hexdigest()))
+        .when(cut_here, F.col("left"))
+        .otherwise(F.col("whole"))
         .alias("kept_sha256"),
     )
