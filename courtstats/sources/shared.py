@@ -8,6 +8,8 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 FOLDER_SETTING = "spark.checkpoint.dir"
+#: Shuffle files go when a write ends, not when the driver collects its garbage.
+_CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Paths that the run around the present call has staged.
 _staged: ContextVar[list | None] = ContextVar("staged", default=None)
 
@@ -38,10 +40,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     if _staged.get() is not None:
         _staged.get().append(path)
-    df.write.parquet(path)
+    with _shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _shuffles_dropped(spark: SparkSession):
+    """Inside, what a write shuffled is deleted when it ends: its rows are in files."""
+    before = spark.conf.get(_CLEANUP_SETTING, None)
+    spark.conf.set(_CLEANUP_SETTING, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP_SETTING)
+        else:
+            spark.conf.set(_CLEANUP_SETTING, before)
+
+
 @contextmanager
 def run_owning_stages(spark: SparkSession):
     """Delete what is staged inside when the block ends; its result must be written."""
