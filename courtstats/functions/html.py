@@ -69,37 +69,100 @@ def _class_item(name: str, then: str = "") -> str:
 def nested_texts(html: Column, tag: str, outer: str, middle: str, inner: str) -> Column:
     """Texts of inner elements, by middle element, by outer element.
 
-    All three are of one kind and told apart by class. One pass over the page
-    keeps the texts with a mark for each level; the short rest is then split. An
-    inner element that holds another of its kind raises: its end is not known.
+    All three are of one kind and told apart by class. The page is cut once before
+    each of their opening tags. An inner element ends where its own depth ends,
+    whatever elements stand inside it; the text is null when one of the three opens
+    before that or the page ends.
     """
-    to_end = rf".*?(?i:</{tag}[{SPACE}]*+>)"
-    pattern = _with_class(
-        tag, _class_item(outer), _class_item(middle), _class_item(inner, to_end)
-    )
-    marks = "\u0001\u0002\u0003"
-    marked = F.transform(
-        F.regexp_extract_all(html, F.lit(pattern), F.lit(0)),
-        lambda found: F.when(
-            F.contains(found, F.lit("</")),  # the only kind taken with its content
-            F.concat(
-                F.lit(marks[2]),
-                F.when(
-                    found.rlike(rf"(?is)^<.*<{tag}[{SPACE}>/]"),
-                    F.raise_error(F.concat(F.lit("an element inside a cell: "), found)),
-                ).otherwise(F.translate(text_of(found), marks, "")),
-            ),
+    items = [_class_item(c) for c in (outer, middle, inner)]
+    pieces = F.split(html, f"(?={_with_class(tag, *items)})", -1)
+    # Most elements hold no other one of their kind and need one pattern. With its
+    # closing mark the content is never empty.
+    plain = rf"^{_with_class(tag, items[2])}((?:[^<]++|<(?!/?{tag}[{SPACE}/>]))*+</)(?={tag})"
+    marks = "\u0001\u0002\u0003\u0004"
+
+    def marked(piece: Column, content: Column) -> Column:
+        text = F.translate(text_of(F.substr(content, F.lit(1), F.length(content) - 2)), marks, "")
+        return (
+            F.when(content != "", F.concat(F.lit(marks[2]), text))
+            .when(piece.rlike("^" + opening_tag(tag, outer)), F.lit(marks[0]))
+            .when(piece.rlike("^" + opening_tag(tag, middle)), F.lit(marks[1]))
+            .when(
+                piece.rlike("^" + opening_tag(tag, inner)),
+                F.concat(
+                    F.lit(marks[2]),
+                    F.coalesce(F.translate(element_text(piece, tag), marks, ""), F.lit(marks[3])),
+                ),
+            )
+            .otherwise(F.lit(""))
         )
-        .when(found.rlike(opening_tag(tag, outer)), F.lit(marks[0]))
-        .otherwise(F.lit(marks[1])),
+
+    texts = F.transform(
+        F.transform(
+            pieces, lambda p: F.struct(p.alias("piece"), F.regexp_extract(p, plain, 1).alias("content"))
+        ),
+        lambda p: marked(p["piece"], p["content"]),
     )
 
     def after(text: Column, mark: str) -> Column:
         return F.filter(F.split(text, mark, -1), lambda part, i: i >= 1)
 
     return F.transform(
-        after(F.array_join(marked, ""), marks[0]),
-        lambda g: F.transform(after(g, marks[1]), lambda row: after(row, marks[2])),
+        after(F.array_join(texts, ""), marks[0]),
+        lambda g: F.transform(
+            after(g, marks[1]),
+            lambda row: F.transform(
+                after(row, marks[2]), lambda cell: F.when(cell != marks[3], cell)
+            ),
+        ),
+    )
+
+
+def running_sum(values: Column) -> Column:
+    """Sums of an integer array up to each position, in doubling steps."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int"))
+    return F.aggregate(
+        steps,
+        values,
+        lambda sums, k: F.transform(
+            sums,
+            lambda x, i: x + F.coalesce(F.get(sums, i - F.call_function("shiftleft", F.lit(1), k)), F.lit(0)),
+        ),
+    )
+
+
+def _tags(html: Column, tag: str) -> Column:
+    """The text from each opening or closing tag to the next, without its ``<``."""
+    return F.filter(F.split(html, rf"(?i)<(?=/?{tag}[{SPACE}/>])", -1), lambda part, i: i >= 1)
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _depths(tags: Column) -> Column:
+    """How many elements are open after each tag."""
+    return running_sum(F.transform(tags, lambda t: F.when(t.startswith("/"), -1).otherwise(1)))
+
+
+def element_text(html: Column, tag: str) -> Column:
+    """Text of the element that begins the HTML; null when it does not end."""
+
+    def text(state: Column) -> Column:
+        tags, end = state["tags"], state["end"]
+        inside = F.array_join(F.slice(tags, F.lit(1), end - 1), "<")
+        return F.when(end > 0, text_of(F.concat(F.lit("<"), inside)))
+
+    return _bound(
+        _bound(
+            _tags(html, tag),
+            lambda tags: F.struct(
+                tags.alias("tags"),
+                F.array_position(_depths(tags), F.lit(0)).cast("int").alias("end"),
+            ),
+        ),
+        text,
     )
 
 
@@ -181,7 +244,7 @@ def attribute_values(
 
 def part_before(html: Column, opening: str) -> Column:
     """What comes before the first opening tag of a kind, or everything."""
-    return F.regexp_extract(html, rf"(?s)^(.*?)(?:{opening}|\z)", 1)
+    return F.get(F.split(html, opening, 2), F.lit(0))
 
 
 def parts_after(html: Column, opening: str) -> Column:
@@ -192,42 +255,38 @@ def parts_after(html: Column, opening: str) -> Column:
 def child_fragments(content: Column, tag: str = "div") -> Column:
     """Direct children of a kind, for content that starts inside their parent.
 
-    Opening and closing tags are counted; what follows the parent's own closing
-    tag is left out.
+    Depths are running sums over opening and closing tags, and every child is cut
+    out once, up to the tag after its end. What follows the parent's own closing
+    tag is left out; a child that does not end goes up to there.
     """
-    chunks = F.filter(
-        F.split(content, rf"(?i)<(?=/?{tag}\b)", -1), lambda chunk, i: i >= 1
-    )
-    start = F.struct(
-        F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kids")
-    )
 
-    def step(state: Column, chunk: Column) -> Column:
-        depth, kids = state["depth"], state["kids"]
-        closes = chunk.startswith("/")
-        last = F.size(kids)
-        grown = F.concat(
-            F.slice(kids, F.lit(1), F.greatest(last - 1, F.lit(0))),
-            F.array(F.concat(F.element_at(kids, -1), F.lit("<"), chunk)),
+    # Every step binds what the next one uses, or it would be worked out for each tag.
+    def with_end(state: Column) -> Column:
+        end = F.array_position(state["depths"], F.lit(-1)).cast("int")
+        last = F.when(end > 0, end - 1).otherwise(F.size(state["tags"]))
+        return F.struct(state["tags"].alias("tags"), state["depths"].alias("depths"), last.alias("last"))
+
+    def with_edges(state: Column) -> Column:
+        tags, depths, last = state["tags"], state["depths"], state["last"]
+        numbers = F.filter(F.sequence(F.lit(0), last), lambda i: i > 0)
+        opens = F.filter(
+            numbers,
+            lambda i: (F.get(depths, i - 1) == 1) & ~F.get(tags, i - 1).startswith("/"),
         )
-        return (
-            F.when(depth < 0, state)
-            .when(
-                closes & (depth == 0),
-                F.struct(F.lit(-1).alias("depth"), kids.alias("kids")),
+        closes = F.filter(numbers, lambda i: F.get(depths, i - 1) == 0)
+        return F.struct(tags.alias("tags"), last.alias("last"), opens.alias("opens"), closes.alias("closes"))
+
+    def children(state: Column) -> Column:
+        def child(begin: Column, k: Column) -> Column:
+            end = F.coalesce(F.get(state["closes"], k), state["last"])
+            return F.concat(
+                F.lit("<"), F.array_join(F.slice(state["tags"], begin, end - begin + 1), "<")
             )
-            .when(
-                closes,
-                F.struct((depth - 1).alias("depth"), grown.alias("kids")),
-            )
-            .when(
-                depth == 0,
-                F.struct(
-                    F.lit(1).alias("depth"),
-                    F.concat(kids, F.array(F.concat(F.lit("<"), chunk))).alias("kids"),
-                ),
-            )
-            .otherwise(F.struct((depth + 1).alias("depth"), grown.alias("kids")))
-        )
 
-    return F.aggregate(chunks, start, step, lambda state: state["kids"])
+        return F.transform(state["opens"], child)
+
+    tagged = _bound(
+        _tags(content, tag),
+        lambda tags: F.struct(tags.alias("tags"), _depths(tags).alias("depths")),
+    )
+    return _bound(_bound(_bound(tagged, with_end), with_edges), children)

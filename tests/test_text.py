@@ -1,3 +1,6 @@
+import itertools
+import time
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -170,7 +173,41 @@ def test_tags_as_browsers_read_them(one):
     assert one("&lbrack;&hearts;&amp;&nosuch;&#x41;", html.decode_entities) == "[♥&&nosuch;A"
 
 
-def test_an_element_inside_a_cell_raises(one):
-    text = '<div class="g"><div class="r"><div class="c">1<div>2</div></div></div></div>'
-    with pytest.raises(Exception, match="an element inside a cell"):
-        one(text, lambda c: html.nested_texts(c, "div", "g", "r", "c"))
+def test_elements_inside_a_cell(one):
+    raw = (
+        '<div class="g"><div class="r"><div class="c"><div>1</div><div>2</div></div>'
+        '<div class="c">a<div><div>b</div>c</div>d</div> no <div>no</div><div class="c">e</div></div></div>'
+    )
+    assert one(raw, lambda c: html.nested_texts(c, "div", "g", "r", "c")) == [[["12", "abcd", "e"]]]
+
+
+def test_a_cell_that_does_not_end_is_null(one):
+    texts = lambda raw: one(raw, lambda c: html.nested_texts(c, "div", "g", "r", "c"))
+    row = '<div class="g"><div class="r"><div class="c">1{}<div class="c">2</div></div></div>'
+    assert texts(row.format("</div>")) == [[["1", "2"]]]
+    assert texts(row.format("")) == [[[None, "2"]]]
+    assert texts(row.format("<div>")) == [[[None, "2"]]]
+    assert texts('<div class="g"><div class="r"><div class="c">1<div>') == [[[None]]]
+
+
+def test_running_sum(spark):
+    rows = [([],), ([5],), ([1, -1] * 40 + [3],), (list(range(300)),)]
+    df = spark.createDataFrame(rows, "v array<int>").select("v", html.running_sum(F.col("v")).alias("s"))
+    for r in df.collect():
+        assert r.s == list(itertools.accumulate(r.v))
+
+
+def test_many_tags_take_linear_time(spark):
+    """Ten times the tags take at most about ten times as long."""
+
+    def seconds(n):
+        raw = f"{'<div>' * 50}{'</div>' * 50}" + "<div><b>x</b><div>y</div></div>" * (n // 4) + "</div>no"
+        df = spark.createDataFrame([(raw,)], "raw string").select(html.child_fragments(F.col("raw")).alias("kids"))
+        kids = df.collect()[0].kids
+        assert len(kids) == n // 4 + 1 and kids[-1] == "<div><b>x</b><div>y</div></div>"
+        start = time.perf_counter()
+        df.collect()
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(10_000) < 40 * max(min(seconds(1000) for _ in range(3)), 0.05)
