@@ -307,6 +307,4 @@ def transposed(spark, sf_dir):
             F.sum(money("l_tax")).cast("double").alias("tax"),
         )
     )
-    return transpose(
-        sums, ["season"], "flag", ["quantity", "tax"], "stat", ["A", "N", "R"]
-    )
+    return transpose(sums, ["season"], "flag", ["quantity", "tax"], "stat")

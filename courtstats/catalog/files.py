@@ -72,10 +72,13 @@ def season_rewrite(spark, sf_dir):
 
 @query("csv_dim_scan", "select s_suppkey, s_name, s_nationkey, s_acctbal from supplier")
 def csv_dim_scan(spark, sf_dir):
-    """The file holds the columns in another order and further ones between."""
+    """Two seasons of the sheet, each with a column order and further columns of its own."""
     path = new_path(spark, "supplier-sheet")
     supplier = table(spark, sf_dir, "supplier").withColumn("note", F.lit("x"))
-    write_sheet(supplier.select("s_acctbal", "note", *[c for c in supplier.columns[::-1] if c not in ("note", "s_acctbal")]), path)
+    odd = F.col("s_suppkey") % 2 == 1
+    first = ["s_acctbal", "note", *[c for c in supplier.columns[::-1] if c not in ("note", "s_acctbal")]]
+    write_sheet(supplier.where(odd).select(first), f"{path}/Season=21_22")
+    write_sheet(supplier.where(~odd).select("s_name", "s_suppkey", "s_nationkey", "s_acctbal"), f"{path}/Season=22_23")
     schema = T.StructType(
         [
             T.StructField("s_suppkey", T.LongType()),

@@ -7,6 +7,7 @@ from courtstats.catalog.games import (
     BOX_DUCK,
     GAMES_DUCK,
     game_pages,
+    number_sql,
     season_sheets,
     sheet_duck,
     slug_sql,
@@ -14,7 +15,9 @@ from courtstats.catalog.games import (
 )
 from courtstats.catalog.registry import query
 from courtstats.functions.html import visible_html
+from courtstats.operators.joins import unmatched_keys
 from courtstats.plans.boxscore import (
+    bad_values,
     boxscore,
     game_info,
     has_team_row,
@@ -24,6 +27,7 @@ from courtstats.plans.boxscore import (
     page_sides,
     player_count,
     player_names,
+    rejected_sides,
     row_labels,
     stat_headings,
     tail_of,
@@ -37,6 +41,7 @@ from courtstats.plans.features import (
 from courtstats.plans.links import collect_links, player_links
 from courtstats.plans.season import features_from_pages
 from courtstats.sources.shared import stage
+from courtstats.sources.tables import with_page_season
 
 PERCENTS = ["2P_Percentage", "3P_Percentage", "FTP_Percentage"]
 
@@ -206,6 +211,77 @@ def typed_page_rows(spark, sf_dir):
     )
 
 
+# What is wrong with some pages: remainder of the page number, change, problem and
+# the sides that have it.
+_CELL = f'{fixed.CELL_CLASS}">'
+FAULTS = [
+    (3, "url", ("/E[0-9]+/", "/E/"), "the link names no season", "true, false"),
+    (5, "html", ("<div>Players</div>", "<div></div><div></div>"),
+     "names and rows differ in number", "true, false"),
+    (7, "html", (fixed.CLUB_CLASS, "club"), "a club name is missing", "true, false"),
+    (9, "html", ("[0-9]+ [A-Z][a-z]{2} [0-9]{4}</li>", "soon</li>"),
+     "the date is missing or cannot be read", "true, false"),
+    (11, "html", (f'(?s)^(.*?{_CELL}[^<]*)</div>(?=<div class="{_CELL})', "$1"), "a cell does not end", "true"),
+    (12, "html", (f"(?s){_CELL}(?!.*{_CELL})", 'x">'), "rows do not hold all statistics", "false"),
+]
+# Before the first cell of the third group, the second one that is shown: points.
+_POINTS = f'(?s)^((?:.*?{fixed.GROUP_CLASS}">){{3}}.*?{_CELL})'
+
+
+def faulty_pages(spark, sf_dir):
+    pages = game_pages(spark, sf_dir).drop("Season")
+    for rest, column, (pattern, new), _, _ in FAULTS:
+        changed = F.regexp_replace(column, pattern, new)
+        pages = pages.withColumn(
+            column, F.when(F.col("page_id") % 13 == rest, changed).otherwise(F.col(column))
+        )
+    return with_page_season(pages)
+
+
+@query(
+    "rejected_sides",
+    f"with games as ({GAMES_DUCK}) "
+    + " union all ".join(
+        f"""select g as page_id, unnest([{sides}]) as "Home", '{problem}' as problem
+            from games where g % 13 = {rest} and not no_stats"""
+        for rest, _, _, problem, sides in FAULTS
+    ),
+)
+def rejected(spark, sf_dir):
+    """Sides that cannot be read, of pages with faults of every kind."""
+    return rejected_sides(faulty_pages(spark, sf_dir))
+
+
+@query(
+    "bad_values",
+    f"""with games as ({GAMES_DUCK})
+        select g as page_id, true as "Home", {slug_sql('home', '0')} as "Player", 'Points' as stat,
+               concat('x', {number_sql(1, 0, '0')}) as value, concat(year - 2000, '_', year - 1999) as "Season"
+        from games where g % 13 = 4 and not no_stats""",
+)
+def values_that_are_none(spark, sf_dir):
+    """Points that are no number on some pages: listed, and null when typed."""
+    pages = game_pages(spark, sf_dir)
+    broken = F.regexp_replace("html", _POINTS, "$1x")
+    pages = pages.withColumn(
+        "html", F.when(F.col("page_id") % 13 == 4, broken).otherwise(F.col("html"))
+    )
+    return bad_values(page_sides(pages))
+
+
+@query(
+    "unmatched_teams",
+    f"""with {BOX_DUCK}, teams as (select range as k from range(24))
+        select distinct "Season", "Team" from box join teams on "Team" = {team_sql('k')}
+        where k % 5 = 2""",
+)
+def unmatched_teams(spark, sf_dir):
+    """Teams of the games that the season sheets do not name."""
+    totals = boxscore(game_pages(spark, sf_dir)).where(F.col("Player") == fixed.TOTAL_ROW)
+    sheets = season_sheets(spark, sf_dir).where("cast(split(TEAM, ' ')[size(split(TEAM, ' ')) - 1] as int) % 5 <> 2")
+    return unmatched_keys(totals, sheets, ["Season", "Team"], ["Season", fixed.SHEET_KEY])
+
+
 @query(
     "prepare_dim",
     f"""with games as ({GAMES_DUCK}), {sheet_duck()}

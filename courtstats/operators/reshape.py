@@ -20,14 +20,30 @@ def unpivot_long(
     )
 
 
+#: Columns that labels found in the data may become.
+MOST_LABELS = 1000
+
+
+def labels_of(df: DataFrame, name: str, most: int = MOST_LABELS) -> list:
+    """The different values of a column in order, without null; more than ``most`` raise."""
+    column = F.col(f"`{name}`")
+    found = df.where(column.isNotNull()).select(column).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{name} has more than {most} different values")
+    return sorted(r[0] for r in found)
+
+
 def pivot_wide(
-    df: DataFrame, keys: list[str], name: str, value: str, labels: list
+    df: DataFrame, keys: list[str], name: str, value: str, labels: list | None = None
 ) -> DataFrame:
     """One row per key and one column per label.
 
-    The labels are given, so no extra pass looks for them, and each task reduces
-    its rows before the shuffle. A value that is not among them raises.
+    Each task reduces its rows before the shuffle. With given labels no extra pass
+    looks for them, and a value that is not among them raises; without, they are the
+    values that the data have.
     """
+    if labels is None:
+        labels = labels_of(df, name)
     outside = F.concat(F.lit(f"not a label of {name}: "), F.col(f"`{name}`").cast("string"))
     known = F.col(f"`{name}`").isin(labels) | F.col(f"`{name}`").isNull()
     return (
@@ -44,9 +60,15 @@ def transpose(
     label: str,
     columns: list[str],
     header: str,
-    labels: list,
+    labels: list | None = None,
 ) -> DataFrame:
-    """Columns become rows and the values of ``label`` become columns."""
+    """Columns become rows and the values of ``label`` become columns.
+
+    Without ``labels`` they are looked for among the rows, before these are
+    multiplied by the columns.
+    """
+    if labels is None:
+        labels = labels_of(df, label)
     long = unpivot_long(df, keys + [label], columns, header, "_value")
     return pivot_wide(long, keys + [header], label, "_value", labels)
 

@@ -21,7 +21,7 @@ from courtstats.functions.html import (
     text_of,
     visible_html,
 )
-from courtstats.functions.text import first_match, match_groups, strip_text
+from courtstats.functions.text import blank_to_zero, first_match, match_groups, strip_text
 from courtstats.functions.values import (
     clock_to_seconds,
     parse_date,
@@ -135,10 +135,10 @@ def _info_columns(info: Column, strict: bool):
     ]
 
 
-def page_sides(pages: DataFrame, strict: bool = True) -> DataFrame:
+def page_sides(pages: DataFrame) -> DataFrame:
     """Two rows per page with statistics: labels, groups and the game record.
 
-    ``problem`` is null for a side whose groups fit together.
+    ``problem`` is null for a side whose groups fit together; nothing raises here.
     """
     # Pages that never name the class have no group and are not taken apart. The
     # text is cleaned once for the five extractions.
@@ -170,7 +170,7 @@ def page_sides(pages: DataFrame, strict: bool = True) -> DataFrame:
         ),
     )
     sides = parsed.select(
-        "page_id", "Season", *_info_columns(F.col("info"), strict), F.inline(roles)
+        "page_id", "Season", *_info_columns(F.col("info"), strict=False), F.inline(roles)
     )
     return (
         sides.where(F.col("n_groups") > 0)
@@ -188,7 +188,10 @@ def _side_problem() -> Column:
         lambda n, g: n + F.coalesce(F.size(F.get(g, F.lit(0))), F.lit(0)),
     )
     return (
-        F.when(F.col("Team").isNull() | F.col("Opponent").isNull(), "a club name is missing")
+        F.when(F.col("Season").isNull(), "the link names no season")
+        .when(F.col("Team").isNull() | F.col("Opponent").isNull(), "a club name is missing")
+        .when(F.col("Round").isNull(), "the round is missing")
+        .when(F.col("Date").isNull(), "the date is missing or cannot be read")
         .when(labels.isNull(), "the name rows are missing")
         .when(F.exists(groups, lambda g: F.size(g) != n_rows), "groups differ in rows")
         .when(F.size(labels) != n_rows, "names and rows differ in number")
@@ -200,29 +203,67 @@ def _side_problem() -> Column:
             ),
             "rows do not hold all statistics",
         )
+        .when(
+            F.exists(groups, lambda g: F.exists(g, lambda r: F.exists(r, lambda c: c.isNull()))),
+            "a cell does not end",
+        )
     )
 
 
 def rejected_sides(pages: DataFrame) -> DataFrame:
     """Sides that cannot be read, with the reason."""
-    return rejects(page_sides(pages, strict=False))
+    return rejects(page_sides(pages)).drop("Season")
 
 
 def rejects(sides: DataFrame) -> DataFrame:
     """The sides with a problem; give stored sides to read the pages only once."""
     return (
         sides.where(F.col("problem").isNotNull())
-        .select("page_id", "Home", "problem")
+        .select("page_id", "Home", "problem", "Season")
+    )
+
+
+def bad_values(sides: DataFrame) -> DataFrame:
+    """Texts of readable sides that are no value of their statistic.
+
+    These are null in the typed rows when reading is not strict.
+    """
+    rows = side_rows(sides, strict=False)
+    stats = [c for c in fixed.PAGE_STATS if c in fixed.BOXSCORE_COLUMNS]
+    problems = F.filter(
+        F.array(
+            *[
+                F.when(
+                    stat_is_bad(c),
+                    F.struct(F.lit(c).alias("stat"), F.col(f"`{c}`").alias("value")),
+                )
+                for c in stats
+            ]
+        ),
+        lambda found: found.isNotNull(),
+    )
+    return rows.where(F.col("Player") != fixed.TEAM_ROW).select(
+        "page_id", "Home", "Player", F.inline(problems), "Season"
     )
 
 
+def stat_is_bad(stat: str) -> Column:
+    """True where a statistic has a text that its type cannot take."""
+    text = F.col(f"`{stat}`")
+    if stat.endswith("_Percentage"):
+        text = first_match(text, fixed.PERCENT, 1)
+    elif stat == "PlusMinus":
+        text = blank_to_zero(text)
+    return text.isNotNull() & stat_value(stat, strict=False).isNull()
+
+
 def page_rows(pages: DataFrame, strict: bool = True) -> DataFrame:
     """One text row per page, side and label, one column per statistic.
 
     Strict raises on a side that cannot be read; otherwise it is left out and
     listed by ``rejected_sides``.
     """
-    return side_rows(page_sides(pages, strict), strict)
+    return side_rows(page_sides(pages), strict)
 
 
 def side_rows(sides: DataFrame, strict: bool = True) -> DataFrame:
@@ -256,6 +297,15 @@ def side_rows(sides: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
+def stat_value(stat: str, strict: bool = True) -> Column:
+    """The typed value of a statistic that is one number."""
+    if stat.endswith("_Percentage"):
+        return percent_to_ratio(F.col(f"`{stat}`"), strict)
+    if stat == "PlusMinus":
+        return plus_minus(F.col(stat), strict)
+    return to_number(F.col(f"`{stat}`"), "smallint", strict)
+
+
 def typed_boxscore(rows: DataFrame, strict: bool = True) -> DataFrame:
     """The thirty columns of the box score and the season.
 
@@ -271,12 +321,8 @@ def typed_boxscore(rows: DataFrame, strict: bool = True) -> DataFrame:
         groups = match_groups(F.col(f"`{source}`"), fixed.MADE_ATTEMPTED, [makes, attempts])
         columns[makes], columns[attempts] = groups[makes], groups[attempts]
     for stat in fixed.PAGE_STATS:
-        if stat.endswith("_Percentage"):
-            columns[stat] = percent_to_ratio(F.col(f"`{stat}`"), strict)
-        elif stat == "PlusMinus":
-            columns[stat] = plus_minus(F.col(stat), strict)
-        elif stat in fixed.BOXSCORE_COLUMNS:
-            columns[stat] = to_number(F.col(f"`{stat}`"), "smallint", strict)
+        if stat in fixed.BOXSCORE_COLUMNS:
+            columns[stat] = stat_value(stat, strict)
     return rows.where(F.col("Player") != fixed.TEAM_ROW).select(
         *[
             columns.get(c, F.col(f"`{c}`")).alias(c)

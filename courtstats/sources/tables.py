@@ -1,5 +1,7 @@
 """Parquet tables, season sheets, stored pages and the season sink."""
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -7,6 +9,7 @@ from pyspark.sql import types as T
 from courtstats.fixed import LINK_SEASON, SHEET_KEY, SHEET_STATS
 from courtstats.functions.text import first_match
 from courtstats.functions.values import season_name
+from courtstats.operators.reshape import union_all
 
 PAGE_SCHEMA = T.StructType(
     [
@@ -56,21 +59,42 @@ def read_sheet(
 ) -> DataFrame:
     """The columns of a schema from a season sheet exported to CSV, by name.
 
-    Other columns are passed over; a column that is absent raises, and so does a
-    file of the same path whose header differs. Strict raises on text that is no
-    value of the column's type, otherwise it is null.
+    Every file has its own header; columns are matched by name, so files may differ
+    in their order and in further columns, which are passed over. A column that is
+    absent raises. Strict raises on text that is no value of the column's type,
+    otherwise it is null.
     """
     schema = schema or sheet_schema()
-    text = (
+    files = files_by_header(spark, path)
+    # One read for each different header; with one header the folder is read whole.
+    reads = list(files.values()) if len(files) > 1 else [path]
+    text = [
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("enforceSchema", False)
-        .csv(path)
+        .option("basePath", path)
+        .csv(names)
+        for names in reads
+    ]
+    for df in text:
+        absent = [f.name for f in schema if f.name not in df.columns]
+        if absent:
+            raise ValueError(f"the sheet has no column {', '.join(absent)}")
+    columns = [_typed(f, strict).alias(f.name) for f in schema]
+    return union_all(*[df.select(*columns) for df in text])
+
+
+def files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files of a folder by their first line; one row a file reaches the driver."""
+    lines = spark.read.text(path).select(
+        "value", "_metadata.file_path", "_metadata.file_block_start"
     )
-    absent = [f.name for f in schema if f.name not in text.columns]
-    if absent:
-        raise ValueError(f"the sheet has no column {', '.join(absent)}")
-    return text.select(*[_typed(f, strict).alias(f.name) for f in schema])
+    # The first block of a file is read by one task, from its first line on.
+    first = lines.where("file_block_start = 0").groupBy("file_path").agg(F.first("value").alias("header"))
+    files = {}
+    for row in sorted(first.collect()):
+        files.setdefault(row.header, []).append(unquote(row.file_path))
+    return files
 
 
 def _typed(field: T.StructField, strict: bool) -> Column:

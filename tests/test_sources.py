@@ -6,9 +6,19 @@ from pyspark.sql import types as T
 
 from courtstats import fixed
 from courtstats.operators.explore import head, pearson_corr, scatter_points, schema_table, shape
-from courtstats.operators.reshape import label_at, ordered_distinct, pivot_wide, transpose, union_all, unpivot_long
+from courtstats.operators.reshape import (
+    label_at,
+    labels_of,
+    ordered_distinct,
+    pivot_wide,
+    transpose,
+    union_all,
+    unpivot_long,
+)
+from courtstats.plans import season
 from courtstats.plans.boxscore import boxscore
 from courtstats.plans.season import run_seasons
+from courtstats.sources import publish
 from courtstats.sources.shared import shared_folder, stage
 from courtstats.sources.tables import (
     read_season,
@@ -134,14 +144,165 @@ def test_run_reports_what_it_leaves_out(spark, tmp_path):
     fields = "TEAM string, " + ", ".join(f"`{c}` double" for c in fixed.SHEET_STATS)
     write_sheet(spark.createDataFrame([("A", *[1.0] * 16, "22_23")], fields + ", Season string"), path("sheets"), "Season")
     run_seasons(spark, path("pages"), path("sheets"), path("raw"), path("out"), strict=False, rejects_path=path("no"))
-    assert {r.page_id for r in spark.read.parquet(path("no/sides")).collect()} == {2}
-    assert [tuple(r) for r in spark.read.parquet(path("no/teams")).collect()] == [("22_23", "B")]
+    sides = spark.read.parquet(path("no/sides"))
+    assert {(r.page_id, r.problem) for r in sides.collect()} == {
+        (2, "names and rows differ in number"),
+        (2, "rows do not hold all statistics"),
+        (3, "the link names no season"),
+    }
+    teams = spark.read.parquet(path("no/teams")).select("Season", "Team")
+    assert [tuple(r) for r in teams.collect()] == [("22_23", "B")]
     twice = [(1, url(1), pages[0][2]), (2, url(2), pages[0][2])]
     spark.createDataFrame(twice, "page_id long, url string, html string").write.parquet(path("two"))
     with pytest.raises(ValueError, match="several total rows"):
         run_seasons(spark, path("two"), path("sheets"), path("raw"), path("out"))
 
 
+URL = "/euroleague/game-center/{0}-{1}/a-b/E{0}/{2}/"
+
+
+def season_pages(spark, path, season, points=("80",), more=()):
+    rows = []
+    for n, p in enumerate(points, start=1):
+        body = side(["p-A"], [stats(), stats("200:00", p)], False) + side(["p-B"], [stats(), stats("200:00", "60")], False)
+        rows.append((n, URL.format(season, season % 100 + 1, n), page("A", "B", [f"Round {n}", f"{n} Oct {season}", "x", "20:00"], body)))
+    rows += more
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.mode("overwrite").parquet(path)
+    return path
+
+
+@pytest.fixture
+def folders(spark, tmp_path):
+    sheet = [(t, *[1.0] * 16, s) for t in "AB" for s in ("22_23", "23_24")]
+    fields = "TEAM string, " + ", ".join(f"`{c}` double" for c in fixed.SHEET_STATS)
+    write_sheet(spark.createDataFrame(sheet, fields + ", Season string"), str(tmp_path / "sheets"), "Season")
+    return lambda name: str(tmp_path / name)
+
+
+def max_points(spark, path):
+    rows = spark.read.parquet(path).groupBy("Season").agg(F.max("Points").alias("p")).collect()
+    return {r.Season: r.p for r in rows}
+
+
+def test_repeated_totals_are_left_out_and_listed(spark, folders):
+    twice = season_pages(spark, folders("pages"), 2022, ["80", "81"])
+    rows = spark.read.parquet(twice)
+    rows = rows.union(rows.where("page_id = 2").withColumn("page_id", F.lit(9).cast("long")))
+    rows.write.parquet(folders("three"))
+    out = run_seasons(
+        spark, folders("three"), folders("sheets"), folders("raw"), folders("out"), strict=False, rejects_path=folders("no")
+    )
+    listed = {(r.Season, r.Team, r.Round, r.n_rows) for r in spark.read.parquet(folders("no/totals")).collect()}
+    assert listed == {("22_23", "A", "2", 2), ("22_23", "B", "2", 2)}
+    raw = spark.read.parquet(folders("raw"))
+    assert sorted((r.Player, r.Round) for r in raw.where("Player = 'Total'").collect()) == [("Total", "1")] * 2
+    # Round 1 meets its own totals and so does round 2: no row is multiplied.
+    assert out.groupBy("Player", "Round").count().where("count > 2").isEmpty()
+
+
+def test_bad_numbers_and_links_are_listed(spark, folders):
+    body = side(["p-A"], [stats(points="x1"), stats("200:00", "80")], False) + side(["p-B"], [stats(), stats()], False)
+    info = ["Round 3", "3 Oct 2022", "x", "20:00"]
+    more = [(5, URL.format(2022, 23, 5), page("A", "B", info, body)), (6, "/x/", page("A", "B", info, body))]
+    pages = season_pages(spark, folders("pages"), 2022, more=more)
+    args = pages, folders("sheets"), folders("raw"), folders("out")
+    run_seasons(spark, *args, strict=False, rejects_path=folders("no"))
+    values = spark.read.parquet(folders("no/values")).collect()
+    assert [(r.page_id, r.Home, r.Player, r.stat, r.value, r.Season) for r in values] == [
+        (5, True, "p-A", "Points", "x1", "22_23")
+    ]
+    sides = spark.read.parquet(folders("no/sides")).collect()
+    assert [(r.page_id, r.problem, r.Season) for r in sides] == [(6, "the link names no season", None)] * 2
+
+
+def test_rejects_of_other_seasons_stay(spark, folders):
+    bad = side(["p-A", "p-Z"], [stats(), stats("200:00", "80")], False)
+
+    def run(season, more):
+        pages = season_pages(spark, folders(f"pages{season}{len(more)}"), season, more=more)
+        run_seasons(
+            spark, pages, folders("sheets"), folders("raw"), folders("out"), season, strict=False, rejects_path=folders("no")
+        )
+        found = spark.read.schema("page_id long, Season string").parquet(folders("no/sides")).distinct()
+        return {(r.page_id, r.Season) for r in found.collect()}
+
+    faulty = [(7, "/x/", page("A", "B", ["Round 4", "4 Oct 2022", "x", "20:00"], bad))]
+    assert run(2022, faulty) == {(7, "22_23")}
+    assert run(2023, faulty) == {(7, "22_23"), (7, "23_24")}
+    assert run(2022, []) == {(7, "23_24")}
+
+
+@pytest.mark.parametrize("at", ["features", "journal"])
+def test_a_run_that_fails_leaves_the_earlier_state(spark, folders, monkeypatch, at):
+    args = folders("sheets"), folders("raw"), folders("out")
+    run_seasons(spark, season_pages(spark, folders("a"), 2022), *args)
+    before = sorted(map(str, spark.read.parquet(folders("out")).collect()))
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        if at == "journal":
+            patch.setattr(publish, "_write", fail)
+        else:
+            patch.setattr(season, "season_features", lambda box, sheets: box.withColumn("x", F.raise_error(F.lit("lost"))))
+        with pytest.raises(Exception, match="lost"):
+            run_seasons(spark, season_pages(spark, folders("b"), 2022, ["99"]), *args)
+    assert max_points(spark, folders("raw")) == {"22_23": 80}
+    assert sorted(map(str, spark.read.parquet(folders("out")).collect())) == before
+    assert not [n for f in ("raw", "out") for n in os.listdir(folders(f)) if n.startswith("_new")]
+
+
+@pytest.mark.parametrize("moves", [0, 1])
+def test_a_step_that_was_broken_off_is_finished(spark, folders, monkeypatch, moves):
+    args = folders("sheets"), folders("raw"), folders("out")
+    run_seasons(spark, season_pages(spark, folders("a"), 2022), *args)
+    left, move = [moves], publish._move
+
+    def some(*names):
+        if not left[0]:
+            raise OSError("lost")
+        left[0] -= 1
+        move(*names)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(publish, "_move", some)
+        with pytest.raises(OSError):
+            run_seasons(spark, season_pages(spark, folders("b"), 2022, ["99"]), *args)
+    publish.finish(spark, folders("out"))
+    assert max_points(spark, folders("raw")) == {"22_23": 99}
+    assert spark.read.parquet(folders("out")).count() == 2
+    assert not [n for f in ("raw", "out") for n in os.listdir(folders(f)) if n.startswith(("_new", "_publish"))]
+
+
+def test_sheets_with_a_header_of_their_own(spark, tmp_path):
+    folder = str(tmp_path / "a b%20c")
+    schema = T.StructType([T.StructField("TEAM", T.StringType()), T.StructField("PACE", T.DoubleType())])
+    one = spark.createDataFrame([("A", "x", 1.5)], "TEAM string, note string, PACE double")
+    write_sheet(one, folder + "/Season=21_22")
+    write_sheet(one.select("PACE", "TEAM"), folder + "/Season=22_23")
+    got = read_season_sheets(spark, folder, schema)
+    assert sorted(map(tuple, got.collect())) == [("A", 1.5, "21_22"), ("A", 1.5, "22_23")]
+    assert [tuple(r) for r in got.where("Season = '22_23'").collect()] == [("A", 1.5, "22_23")]
+    write_sheet(one.select("PACE"), folder + "/Season=23_24")
+    with pytest.raises(ValueError, match="no column TEAM"):
+        read_season_sheets(spark, folder, schema)
+
+
+def test_labels_come_from_the_data(spark):
+    rows = [(1, "b", 1.0, 2.0), (1, "a", 3.0, 4.0), (2, "a", 5.0, None), (2, None, 6.0, 7.0)]
+    df = spark.createDataFrame(rows, "k int, name string, x double, y double")
+    got = transpose(df, ["k"], "name", ["x", "y"], "stat")
+    assert got.columns == ["k", "stat", "a", "b"]
+    assert sorted(map(tuple, got.collect()), key=str) == [
+        (1, "x", 3.0, 1.0), (1, "y", 4.0, 2.0), (2, "x", 5.0, None), (2, "y", None, None)
+    ]
+    many = spark.range(30).selectExpr("id as k", "cast(id as string) as name", "1.0 as x")
+    with pytest.raises(ValueError, match="more than 20 different"):
+        labels_of(many, "name", 20)
+    assert transpose(df.limit(0), ["k"], "name", ["x"], "stat").columns == ["k", "stat"]
+
+
 def test_sheet_columns_are_taken_by_name(spark, tmp_path):
     rows = spark.createDataFrame([("5", "x", "A", "1.5"), ("bad", "y", "B", None)], "GP string, z string, TEAM string, PACE string")
     write_sheet(rows, str(tmp_path / "s"))
