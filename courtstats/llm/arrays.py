@@ -12,8 +12,11 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Hashes of slices are polynomials modulo this prime.
+_PRIME = (1 << 61) - 1
+_BASE = 0x1E3779B97F4A7C15 % _PRIME
+_BASE_INVERSE = pow(_BASE, -1, _PRIME)
+_HALF, _HALF_BITS = np.uint64((1 << 31) - 1), np.uint64(31)
 _powers = {}
 
 
@@ -26,32 +29,63 @@ def mix(x):
     return x ^ (x >> np.uint64(31))
 
 
+def _reduced(x):
+    x = (x & np.uint64(_PRIME)) + (x >> np.uint64(61))
+    return np.where(x >= _PRIME, x - np.uint64(_PRIME), x)
+
+
+def _times(a, b):
+    """Products of numbers below the prime, modulo the prime."""
+    high, low, other, less = a >> _HALF_BITS, a & _HALF, b >> _HALF_BITS, b & _HALF
+    middle = high * less + low * other
+    return _reduced(
+        np.uint64(2) * high * other
+        + (middle >> np.uint64(30))
+        + ((middle & np.uint64((1 << 30) - 1)) << _HALF_BITS)
+        + low * less
+    )
+
+
 def _powers_of(base, n):
     have = _powers.get(base)
     if have is None or len(have) < n:
-        grown = np.full(max(n, 1 << 16), base, np.uint64)
-        grown[0] = 1
-        have = np.cumprod(grown, dtype=np.uint64)
+        have = np.ones(1, np.uint64)
+        while len(have) < max(n, 1 << 16):
+            more = _times(have, np.uint64(pow(base, len(have), _PRIME)))
+            have = np.concatenate([have, more])
         if n <= 1 << 23:
             _powers[base] = have
     return have[:n]
 
 
 class Prefixes:
-    """Polynomial prefix hashes of bytes: the hash of any slice in one step."""
+    """Polynomial prefix hashes of numbers: the hash of any slice in one step.
+
+    The modulus is a prime, so no regular text cancels out; sums are kept in two
+    halves of 31 bits.
+    """
 
     def __init__(self, data):
         n = len(data)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(
-            (data.astype(np.uint64) + np.uint64(1)) * _powers_of(_BASE, n),
-            out=self.sums[1:],
-        )
+        power = _powers_of(_BASE, n)
+        value = data.astype(np.uint64)
+        small = data.dtype.itemsize < 8 and n * (int(data.max(initial=0)) + 1) < 1 << 32
+        value = value + np.uint64(1) if data.dtype.itemsize < 8 else _reduced(value)
+        if small:
+            low, high = (power & _HALF) * value, (power >> _HALF_BITS) * value
+        else:
+            product = _times(power, value)
+            low, high = product & _HALF, product >> _HALF_BITS
+        self.low, self.high = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64)
+        np.cumsum(low, out=self.low[1:])
+        np.cumsum(high, out=self.high[1:])
         self.down = _powers_of(_BASE_INVERSE, n + 1)
 
     def of(self, starts, ends):
         ends = np.asarray(ends)
-        span = (self.sums[ends] - self.sums[starts]) * self.down[starts]
+        low, high = self.low[ends] - self.low[starts], self.high[ends] - self.high[starts]
+        span = _reduced(_times(_reduced(high), np.uint64(1 << 31)) + _reduced(low))
+        span = _times(span, self.down[starts])
         return mix(span ^ ((ends - starts).astype(np.uint64) << np.uint64(48)))
 
 
@@ -140,3 +174,27 @@ def pieces(column, most=1 << 20):
             data[offsets[begin] : offsets[end]],
             offsets[begin : end + 1] - offsets[begin],
         )
+
+
+#: What a task puts into one batch of rows that it makes.
+BATCH_BYTES = 4 << 20
+
+
+def in_batches(names, types, rows, size, most=None):
+    """Batches of about ``most`` bytes from rows, of whose bytes ``size`` tells.
+
+    What a task holds is bounded however many rows come from one batch of input.
+    """
+    held, total = [], 0
+
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names)
+
+    for row in rows:
+        held.append(row)
+        total += size(row)
+        if total > (most or BATCH_BYTES):
+            yield batch()
+            held, total = [], 0
+    if held:
+        yield batch()

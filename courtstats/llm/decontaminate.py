@@ -16,24 +16,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtstats.llm.arrays import mix, pieces, word_hashes
-from courtstats.llm.tables import text_key
+from courtstats.llm.tables import rows_without, text_key
 from courtstats.sources.shared import stage
 
 WINDOW, EQUAL = 12, 10
 MASKS = ((0, 1, 4, 5, 8, 9), (0, 3, 4, 7, 8, 11), (0, 2, 4, 6, 8, 10))
-#: Items of fewer words than a window must stand in a text unchanged; items of
-#: fewer words than this stand in texts by chance and take no part.
-LEAST_WORDS = 8
+#: Items of fewer words than a window may have one word replaced; with fewer words
+#: than this they must stand in a text unchanged.
+LEAST_FREE = 8
 MOST_BITS = 28
 PROBES = 3
 
 
 def _seeds(words, counts, masks):
-    """Hash, row and place of every seed, one mask after the other."""
+    """For each mask its lengths, and hash, row and place of every seed."""
     ends = np.cumsum(counts)
     row = np.repeat(np.arange(len(counts)), counts)
     place = np.arange(len(words)) - (ends - counts)[row]
-    for mask in masks:
+    for mask, lengths in masks.items():
         last = max(mask)
         n = len(words) - last
         if n <= 0:
@@ -42,13 +42,25 @@ def _seeds(words, counts, masks):
         for j, at in enumerate(mask):
             total = (total ^ words[at : at + n]) * np.uint64(0x9E3779B97F4A7C15 + 2 * j)
         fits = np.flatnonzero(place[:n] + last < counts[row[:n]])
-        yield mix(total)[fits], row[fits], place[fits]
+        yield lengths, (mix(total)[fits], row[fits], place[fits])
 
 
 def _masks(lengths):
-    """The masks for items of these lengths: short ones are taken whole."""
-    short = sorted({int(n) for n in lengths if LEAST_WORDS <= n < WINDOW})
-    return [*MASKS, *[tuple(range(n)) for n in short]]
+    """Masks and the lengths of the items that each is for; ``WINDOW`` is any from there on.
+
+    Of a short item the words at even and at odd places are two masks, of which one
+    replaced word leaves one whole; the shortest are taken whole.
+    """
+    masks = {mask: [WINDOW] for mask in MASKS}
+    for n in sorted({int(n) for n in lengths}):
+        for mask in [range(0, n, 2), range(1, n, 2)] if n >= LEAST_FREE else [range(n)]:
+            masks.setdefault(tuple(mask), []).append(n)
+    return masks
+
+
+def _needed(n):
+    """Words of a window of ``n`` that must be equal."""
+    return EQUAL if n == WINDOW else n - 1 if n >= LEAST_FREE else n
 
 
 def _item_seeds(masks):
@@ -57,9 +69,10 @@ def _item_seeds(masks):
             out = [[], [], []]
             for begin, _, data, offsets in pieces(batch.column(1)):
                 words, counts = word_hashes(data, offsets)
-                for k, (seed, row, place) in enumerate(_seeds(words, counts, masks)):
-                    n = counts[row]
-                    own = n >= WINDOW if k < len(MASKS) else n == len(masks[k])
+                for lengths, (seed, row, place) in _seeds(words, counts, masks):
+                    n = np.minimum(counts[row], WINDOW)
+                    # A short item has one seed a mask, from its first word on.
+                    own = np.isin(n, lengths) & ((n == WINDOW) | (place == 0))
                     out[0].append(row[own] + begin)
                     out[1].append(seed[own].view(np.int64))
                     out[2].append(place[own])
@@ -101,7 +114,7 @@ def _hits(table, masks, bits):
             for begin, end, data, offsets in pieces(batch.column(1)):
                 words, counts = word_hashes(data, offsets)
                 seeds, owners, places = [], [], []
-                for seed, row, place in _seeds(words, counts, masks):
+                for _, (seed, row, place) in _seeds(words, counts, masks):
                     keep = np.arange(len(seed))
                     for probe in range(PROBES):
                         bit = (seed[keep] >> np.uint64(12 * probe)) & low
@@ -131,7 +144,7 @@ def _hits(table, masks, bits):
 def covered_words(text, item, shifts):
     """Item words inside verified windows, over some alignments of the two."""
     n = min(WINDOW, len(item))
-    need = EQUAL if n == WINDOW else n
+    need = _needed(n)
     best = np.zeros(len(item) + 1, np.int64)
     for shift in shifts:
         begin, end = max(0, -shift), min(len(item), len(text) - shift)
@@ -176,9 +189,9 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``text_key, item_id, covered, item_words`` of verified overlaps.
 
     A text overlaps an item if twelve consecutive words of the item stand in it in
-    a row with at most two replaced (A-Z in lower case); an item of 8 to 11 words
-    must stand there unchanged, shorter ones (null and empty too) never match.
-    ``covered`` counts item words in such windows. Items of equal text count once,
+    a row with at most two replaced (A-Z in lower case), or a whole item of 8 to 11
+    words with at most one replaced, or a whole shorter item unchanged; null and
+    empty items never match. ``covered`` counts item words in such windows. Items of equal text count once,
     under the smallest item_id.
     """
     spark = docs.sparkSession
@@ -189,7 +202,7 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "items",
     )
     lengths = items.select("item").mapInArrow(_lengths, "n bigint")
-    short = lengths.where(f"n between {LEAST_WORDS} and {WINDOW - 1}").distinct().collect()
+    short = lengths.where(f"n between 1 and {WINDOW - 1}").distinct().collect()
     masks = _masks(r.n for r in short)
     seeds = stage(
         items.select("item_key", "item").mapInArrow(
@@ -255,6 +268,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text overlaps no item, all columns kept."""
     found = stage(contaminated_texts(docs, benchmark).select("text_key").distinct(), "contaminated")
-    found = found.withColumnRenamed("text_key", "_found")
-    keyed = docs.withColumn("_key", text_key())
-    return keyed.join(found, keyed["_key"] == found["_found"], "left_anti").drop("_key")
+    return rows_without(docs, found)

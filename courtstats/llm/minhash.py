@@ -225,7 +225,7 @@ def _linked(buckets, classes, texts, size, percent):
     open_ = placed.join(apart.select("band"), "band", "left_semi")
     open_ = stage(open_.join(classes.select("node", "bands", "spread"), "node"), "open")
     other = open_.select(
-        "band",
+        F.col("band").alias("same_band"),
         F.col("node").alias("centre"),
         F.col("label").alias("own"),
         F.col("n").alias("m"),
@@ -238,7 +238,7 @@ def _linked(buckets, classes, texts, size, percent):
     first = "array_position(zip_with(bands, others, (x, y) -> x = y), true) = slot + 1"
     common = "aggregate(zip_with(spread, spreads, (x, y) -> least(x, y)), 0, (s, x) -> s + x)"
     enough = f"(100 + {percent}) * {common} >= {percent} * (n + m)"
-    same_band = open_["band"] == other["band"]
+    same_band = F.col("band") == F.col("same_band")
     apart = F.expr(f"centre < node and own <> label and {possible} and {first} and {enough}")
     rest = (
         open_.join(other, same_band & apart)

@@ -18,7 +18,7 @@ remains is compared by 128-bit digests of single windows.
 """
 
 import hashlib
-from itertools import repeat
+from itertools import accumulate, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from courtstats.llm.arrays import Prefixes, bytes_of, mix, pieces, word_spans
+from courtstats.llm.arrays import Prefixes, bytes_of, in_batches, mix, pieces, word_spans
 from courtstats.llm.suffix_array import permuted_common_prefixes, suffix_array
-from courtstats.llm.tables import distinct_texts, text_key
+from courtstats.llm.tables import distinct_texts, text_key, with_key
 from courtstats.sources.shared import stage
 
 LENGTH = 400
@@ -119,88 +119,79 @@ def _words_of_rows(column, words):
 
 
 def _keyed(length, words):
-    def run(batches):
+    def rows(batches):
+        none = np.zeros(0, np.uint64)
         for batch in batches:
-            sizes, numbers, keys, own = [], [], [], []
-            none = np.zeros(0, np.uint64)
             runs = _words_of_rows(batch.column(1), words) if words else repeat((0, none, none, none))
-            for (data, _, _, key), (number, _, _, more) in zip(_of_rows(batch.column(1), length), runs):
+            for i, ((data, _, _, key), (number, _, _, more)) in enumerate(
+                zip(_of_rows(batch.column(1), length), runs)
+            ):
                 each, counts = np.unique(np.concatenate([key, more]), return_counts=True)
-                sizes.append(len(data))
-                numbers.append(number)
-                keys.append(each.view(np.int64))
-                own.append(each[counts > 1].view(np.int64))
-            many = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(numbers, pa.int64()),
-                    pa.array(keys, many),
-                    pa.array(own, many),
-                ],
-                ["text_key", "n_bytes", "n_words", "keys", "own"],
-            )
-
-    return run
+                own = each[counts > 1].view(np.int64)
+                yield batch.column(0)[i].as_py(), len(data), number, each.view(np.int64), own
+
+    many = pa.list_(pa.int64())
+    return lambda batches: in_batches(
+        ["text_key", "n_bytes", "n_words", "keys", "own"],
+        [pa.binary(), pa.int64(), pa.int64(), many, many],
+        rows(batches),
+        lambda row: 100 + row[3].nbytes + row[4].nbytes,
+    )
 
 
 def _fragments(length):
-    def run(batches):
+    """The wanted fragments of every text; a task holds out the bytes it sent before."""
+
+    def rows(batches):
         seen = set()
         for batch in batches:
-            out = [[] for _ in range(6)]
             for i, (data, low, high, key) in enumerate(_of_rows(batch.column(1), length)):
                 text_id = batch.column(0)[i].as_py()
                 wanted = np.array(batch.column(2)[i].as_py(), np.int64).view(np.uint64)
-                for j in np.flatnonzero(np.isin(key, wanted)):
-                    held = data[low[j] : high[j] + length].tobytes()
-                    name = xxh3_128_digest(held)
-                    for column, value in zip(
-                        out,
-                        (name, key[j : j + 1].view(np.int64)[0], text_id, low[j], high[j] - low[j] + 1,
-                         None if name in seen else held),
-                    ):
-                        column.append(value)
+                at = np.flatnonzero(np.isin(key, wanted))
+                shares = key[at].view(np.int64).tolist()
+                held = data.tobytes()
+                for share, first, last in zip(shares, low[at].tolist(), high[at].tolist()):
+                    part = held[first : last + length]
+                    name = xxh3_128_digest(part)
+                    yield name, share, text_id, first, last - first + 1, None if name in seen else part
                     seen.add(name)
-                if len(seen) > 100_000:
-                    seen.clear()
-            types = [pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(out, types)],
-                ["fragment", "share", "text_key", "start", "owned", "held"],
-            )
-
-    return run
+            if len(seen) > 100_000:
+                seen.clear()
+
+    return lambda batches: in_batches(
+        ["fragment", "share", "text_key", "start", "owned", "held"],
+        [pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()],
+        rows(batches),
+        lambda row: 200 + len(row[5] or b""),
+    )
 
 
 def _word_windows(words):
     """A row for each window of words in the wanted shares of each text."""
 
-    def run(batches):
+    def rows(batches):
         for batch in batches:
-            digests, keys, firsts = [], [], []
             texts, offsets = bytes_of(batch.column(1))
-            for i, (number, low, high, key) in enumerate(_words_of_rows(batch.column(1), words)):
+            for i, (_, low, high, key) in enumerate(_words_of_rows(batch.column(1), words)):
                 wanted = np.array(batch.column(2)[i].as_py(), np.int64).view(np.uint64)
                 at = np.flatnonzero(np.isin(key, wanted))
                 if not len(at):
                     continue
                 text_id = batch.column(0)[i].as_py()
                 each = texts[offsets[i] : offsets[i + 1]].tobytes().split()
-                edges = np.cumsum([0, *[len(w) + 1 for w in each]])
+                edges = list(accumulate((len(w) + 1 for w in each), initial=0))
                 held = b" ".join(each)
-                for j in at:
-                    for first in range(int(low[j]), int(high[j]) + 1):
-                        digests.append(xxh3_128_digest(held[edges[first] : edges[first + words] - 1]))
-                        keys.append(text_id)
-                        firsts.append(first)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(digests, pa.binary()), pa.array(keys, pa.binary()), pa.array(firsts, pa.int64())],
-                ["window", "text_key", "first"],
-            )
-
-    return run
+                for first, last in zip(low[at].tolist(), high[at].tolist()):
+                    for k in range(first, last + 1):
+                        yield xxh3_128_digest(held[edges[k] : edges[k + words] - 1]), text_id, k
+
+    return lambda batches: in_batches(
+        ["window", "text_key", "first"],
+        [pa.binary(), pa.binary(), pa.int64()],
+        rows(batches),
+        lambda row: 200,
+    )
 
 
 def _word_places(texts, words):
@@ -462,13 +453,12 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, words: int | None = N
 
     ``length`` and ``words`` as in ``repeated_text``.
     """
-    changed = repeated_text(docs, length, words).select(
-        F.col("text_key").alias("_changed"), "kept_text"
-    )
-    keyed = docs.withColumn("_key", text_key())
-    text = F.when(F.col("_changed").isNull(), keyed["text"]).otherwise(F.col("kept_text"))
-    return keyed.join(changed, keyed["_key"] == F.col("_changed"), "left").select(
-        *[(text.alias(c) if c == "text" else keyed[f"`{c}`"]) for c in docs.columns]
+    changed = repeated_text(docs, length, words).select("text_key", "kept_text")
+    rows = with_key(docs).join(changed.withColumn("changed", F.lit(True)), "text_key", "left")
+    text = docs.columns.index("text")
+    cut = F.when(F.col("changed"), F.col("kept_text")).otherwise(F.col(f"c{text}"))
+    return rows.select(
+        *[(cut if i == text else F.col(f"c{i}")).alias(c) for i, c in enumerate(docs.columns)]
     )
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtstats.llm.arrays import Prefixes, bytes_of, mix, pieces, word_spans
+from courtstats.llm.arrays import Prefixes, bytes_of, in_batches, mix, pieces, word_spans
 from courtstats.sources.shared import stage
 
 #: Words of a window, and of a minimiser.
@@ -31,8 +31,6 @@ GRAM = 7
 PART_BYTES = 4 << 20
 #: Beyond this, windows of a bucket are dealt out by themselves.
 HOT_BYTES = 1 << 17
-#: What a task puts into one batch.
-BATCH_BYTES = 4 << 20
 #: Keys of super-k-mers that a task remembers.
 _MOST_SEEN = 200_000
 _POSITION = np.uint64((1 << 32) - 1)
@@ -116,19 +114,6 @@ def _joined(data, starts, ends):
     return held[:-1].tobytes(), to
 
 
-def _batches(names, types, rows, size):
-    """Batches of about ``BATCH_BYTES`` from rows, whose bytes ``size`` tells."""
-    held, total = [], 0
-    for row in rows:
-        held.append(row)
-        total += size(row)
-        if total > BATCH_BYTES:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names)
-            held, total = [], 0
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names)
-
-
 def _keyed(window):
     """``doc_id, text_key, buckets`` of every row with a window."""
 
@@ -139,7 +124,7 @@ def _keyed(window):
                     yield batch.column(0)[i].as_py(), _digest(data.tobytes()), np.unique(bucket)
 
     def run(batches):
-        return _batches(
+        return in_batches(
             ["doc_id", "text_key", "buckets"],
             [pa.int64(), pa.binary(), pa.list_(pa.int64())],
             rows(batches),
@@ -168,7 +153,7 @@ def _packed(window):
                 seen.clear()
 
     def run(batches):
-        return _batches(
+        return in_batches(
             ["bucket", "packed_key", "packed", "text_key", "doc", "start"],
             [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()],
             rows(batches),
@@ -249,7 +234,7 @@ def _single(window):
                     yield _digest(held[to[offset] : to[offset + window] - 1]), key, offset, least, most
 
     def run(batches):
-        return _batches(
+        return in_batches(
             ["window", "packed_key", "offset", "least", "most"],
             [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()],
             rows(batches),
@@ -329,7 +314,7 @@ def _cut(window):
                 yield batch.column(0)[i].as_py(), int((~stay).sum()), hashlib.sha256(kept).hexdigest()
 
     def run(batches):
-        return _batches(
+        return in_batches(
             ["text_key", "n_removed", "kept_sha256"],
             [pa.binary(), pa.int64(), pa.string()],
             rows(batches),

@@ -25,3 +25,20 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     return docs.select(text_key().alias("text_key"), text).groupBy("text_key").agg(
         F.first("text").alias("text")
     )
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """The same columns named ``c0, c1, ..``: what is added cannot clash with them."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def with_key(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``numbered`` columns and ``text_key``, the digest of the whole text."""
+    plain = numbered(docs)
+    return plain.withColumn("text_key", text_key(F.col(f"c{docs.columns.index(text)}")))
+
+
+def rows_without(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text has no ``text_key`` in ``found``; columns as they were."""
+    left = with_key(docs).join(found.select("text_key"), "text_key", "left_anti")
+    return left.drop("text_key").toDF(*docs.columns)

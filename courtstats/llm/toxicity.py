@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtstats.llm.arrays import Prefixes, pieces
+from courtstats.sources.shared import stage
 
 #: Letters that signs stand for (fixed values); a sign may also stand for nothing.
 SIGNS = {
@@ -32,8 +33,8 @@ OTHER = SIZE - 1
 SUBSTITUTED, DROPPED = np.log(0.4), np.log(0.2)
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 MOST_LABELLED = 4000
-MOST_FEATURES = 4096
 FOLDS = 5
+ROWS_AT_A_TIME = 1000
 #: Words, and steps of words, that are searched at a time.
 MOST_WORDS, MOST_STEPS = 4096, 1_000_000
 
@@ -426,17 +427,31 @@ def fit(examples, size, rounds=300, rate=1.0, decay=1e-4):
     return weight, bias
 
 
-def _scored(model, chosen, weight, bias):
+def _scores(column, model, chosen, weight, bias):
+    sums = np.full(len(column), bias)
+    for _, _, row, place in _present(model, chosen)(column):
+        np.add.at(sums, row, weight[place])
+    return pa.array(1 / (1 + np.exp(-np.clip(sums, -500, 500))), pa.float64())
+
+
+def _scored(*learned):
     def run(batches):
         for batch in batches:
-            sums = np.full(batch.num_rows, bias)
-            for _, _, row, place in _present(model, chosen)(batch.column(1)):
-                np.add.at(sums, row, weight[place])
-            score = 1 / (1 + np.exp(-np.clip(sums, -500, 500)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(score, pa.float64()), *batch.columns[2:]],
-                ["doc_id", "score", *batch.schema.names[2:]],
-            )
+            score = _scores(batch.column(1), *learned)
+            yield pa.RecordBatch.from_arrays([batch.column(0), score], ["doc_id", "score"])
+
+    return run
+
+
+def _scored_rows(text, *learned):
+    """All columns and a score, some rows of a batch at a time."""
+
+    def run(batches):
+        for batch in batches:
+            for begin in range(0, batch.num_rows, ROWS_AT_A_TIME):
+                some = batch.slice(begin, ROWS_AT_A_TIME)
+                score = _scores(some.column(text), *learned)
+                yield pa.RecordBatch.from_arrays([*some.columns, score], [*batch.schema.names, "score"])
 
     return run
 
@@ -466,8 +481,13 @@ def train(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED
     ]
     # At most 2 x most_labelled pairs of numbers.
     sample = F.broadcast(some[0].unionByName(some[1]))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(sample, "doc_id")
-    rows = rows.select("text", F.col("toxic").cast("bigint").alias("toxic"))
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(sample, "doc_id")
+    # Ids that repeat do not make the sample larger.
+    order = F.xxhash64("doc_id"), "doc_id", F.sha2(F.col("text").cast("binary"), 256)
+    some = [found.where(F.col("toxic") == k).orderBy(*order).limit(most_labelled) for k in (0, 1)]
+    rows = stage(
+        some[0].unionByName(some[1]).select("text", F.col("toxic").cast("bigint").alias("toxic")), "examples"
+    )
     totals = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if not totals.get(0) or not totals.get(1):
         rate = 1.0 if totals.get(1) else 0.0
@@ -479,9 +499,9 @@ def train(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED
         .agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
         .where(F.col("t") >= max(3, totals[1] // 500))
         .where(odds >= float(np.log(8)))
-        .orderBy((odds * F.sqrt("t")).desc(), "feature")
-        .limit(MOST_FEATURES)
+        .select("feature")
     )
+    # All of them; the bounded sample bounds them too.
     chosen = np.sort(np.array([r.feature for r in counted.collect()], np.int64).view(np.uint64))
     if not len(chosen):
         share = {r.toxic: r["count"] for r in usable.groupBy("toxic").count().collect()}
@@ -509,12 +529,14 @@ def score_texts(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LA
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` with a score under 0.5, all columns kept."""
-    held = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     learned = train(docs, labels)
-    shape = docs.select(held).schema["row"].dataType.simpleString()
+    # Columns go by number, so names neither clash nor need quoting, and the text
+    # goes to the workers once.
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in numbered.schema.fields)
     return (
-        docs.select("doc_id", "text", held)
-        .mapInArrow(_scored(*learned), f"doc_id bigint, score double, row {shape}")
+        numbered.mapInArrow(_scored_rows(docs.columns.index("text"), *learned), f"{shape}, score double")
         .where("score < 0.5")
-        .select("row.*")
+        .drop("score")
+        .toDF(*docs.columns)
     )

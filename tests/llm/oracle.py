@@ -15,3 +15,12 @@ def same_as_sql(df, sql, sf_dir):
     key = lambda r: tuple((v is not None, v) for v in r)
     got = sorted((tuple(r) for r in df.select(names).collect()), key=key)
     assert got == sorted((tuple(r) for r in want.fetchall()), key=key)
+
+
+def mirrored(letters="ab", bits=10):
+    """A word whose letters follow the parity of the bits of their place, and its opposite.
+
+    Polynomial hashes modulo a power of two do not tell them apart.
+    """
+    odd = [bin(i).count("1") % 2 for i in range(1 << bits)]
+    return "".join(letters[x] for x in odd), "".join(letters[1 - x] for x in odd)

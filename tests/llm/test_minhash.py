@@ -5,6 +5,7 @@ import pytest
 
 from courtstats.llm.minhash import near_duplicates
 from courtstats.llm.queries import QUERIES
+from tests.llm.oracle import mirrored
 
 SF = "/root/testdata/sf0.001"
 
@@ -61,6 +62,9 @@ def test_edges(spark):
         (12, "One two"), (13, "one  TWO"), (14, "One"), (5, base), (None, near),
         (None, None), (20, "É é"), (21, "é é"), (22, "w " * 30_000),
     ]
+    # Words and shingles that a hash modulo a power of two takes for equal.
+    rows += [(30 + i, w) for i, w in enumerate(mirrored())]
+    rows += [(40 + i, f"{w} x {w} y {w} z") for i, w in enumerate(mirrored())]
     docs = spark.createDataFrame(
         [(d, t, 1, "z") for d, t in rows],
         "doc_id long, text string, n_shingles long, label string",
@@ -70,7 +74,7 @@ def test_edges(spark):
     key = lambda r: tuple((x is not None, x) for x in r)
     assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got.collect()], key=key) == sorted(want, key=key)
     kept = {r.doc_id for r in got.where("kept").collect()}
-    assert kept == {3, 9, 10, 11, 12, 14, 20, 21, 22, None}
+    assert kept == {3, 9, 10, 11, 12, 14, 20, 21, 22, 30, 31, 40, 41, None}
     assert near_duplicates(docs.limit(0)).count() == 0
 
 

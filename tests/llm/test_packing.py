@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from courtstats.llm import byte_bpe
 from courtstats.llm.packing import pack, shortest_pack_first
 from courtstats.llm.queries import QUERIES
+from tests.llm.oracle import mirrored
 
 SF = "/root/testdata/sf0.001"
 PATH = byte_bpe.vocabulary("byte_bpe_50k.json")
@@ -49,6 +50,7 @@ def test_edges(spark):
     texts = [None, "", "a b", " x" * 40, "same", "same", "word " * 5000, "y" * 90]
     docs = spark.createDataFrame([(i, t, 9) for i, t in enumerate(texts)], "doc_id long, text string, start int")
     check(dict(enumerate(texts)), pack(docs, 32).collect(), 32)
+    check(dict(enumerate(mirrored())), pack(spark.createDataFrame(list(enumerate(mirrored())), "doc_id long, text string"), 32).collect(), 32)
     again = docs.selectExpr("cast(null as long) as doc_id", "text").union(docs.select("doc_id", "text"))
     assert pack(again, 32).count() == 2 * pack(docs, 32).count()
     assert pack(docs.limit(0)).count() == 0

@@ -10,7 +10,6 @@ from corpus_pipeline import STAGES
 from tests.llm.test_decontaminate import overlap
 from tests.llm.test_minhash import brute
 from tests.llm.test_packing import check
-from tests.llm.test_suffix_dedup import brute as brute_repeats
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -41,14 +40,7 @@ def test_each_stage_on_its_own_input(steps, spark):
     rows = sorted(calm.items())
     assert set(single) == {d for (d, _), (n, c) in zip(rows, brute(rows, 5)) if c == d}
     assert set(cut) == set(single)
-    rows = sorted(single.items())
-    for (d, t), (n, removed, _, _) in zip(rows, brute_repeats([t for _, t in rows], 400)):
-        assert len(t.encode()) == n
-        if removed == 0:
-            assert cut[d] == t
-        else:
-            # Characters of which some bytes stay, stay whole.
-            assert n - removed <= len(cut[d].encode()) <= n - removed + 6 * (removed // 400)
+    assert cut == dict(zip(single, without_repeated(list(single.values()))))
     items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     gone = set(cut) - set(clean)
     assert all(any(overlap(cut[d], i) for i in items) for d in gone)
@@ -95,9 +87,9 @@ def test_short_passages_of_over_50_words_go(spark):
     assert texts(corpus_pipeline.suffix_dedup(spark, docs, SF)) == want
 
 
-def test_stage_matches_brute_force_of_bytes_and_words(spark):
-    rows = spark.read.parquet(f"{SF}/documents.parquet").dropDuplicates(["text"]).where("text is not null").collect()
-    raw = [r.text.encode() for r in rows]
+def without_repeated(texts):
+    """Texts without repeated strings of 400 bytes and runs of 51 words, by counting all."""
+    raw = [t.encode() for t in texts]
     spans = [[m.span() for m in re.finditer(rb"[^ \t\n\v\f\r]+", b)] for b in raw]
     windows = [
         (i, s[k][0], s[k + 50][1], tuple(b[x:y] for x, y in s[k : k + 51]))
@@ -110,15 +102,43 @@ def test_stage_matches_brute_force_of_bytes_and_words(spark):
     for i, begin, end, held in windows:
         if seen[held] > 1:
             gone[i][begin:end] = b"\1" * (end - begin)
-    docs = spark.createDataFrame(rows, spark.read.parquet(f"{SF}/documents.parquet").schema)
-    got = texts(corpus_pipeline.suffix_dedup(spark, docs, SF))
-    for row, b, g in zip(rows, raw, gone):
+    out = []
+    for text, g in zip(texts, gone):
         kept, at = "", 0
-        for c in row.text:
+        for c in text:
             size = len(c.encode())
             kept += "" if all(g[at : at + size]) else c
             at += size
-        assert got[row.doc_id] == kept
+        out.append(kept)
+    return out
+
+
+def test_stage_matches_brute_force_of_bytes_and_words(spark):
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = given.dropDuplicates(["text"]).where("text is not null").collect()
+    got = texts(corpus_pipeline.suffix_dedup(spark, spark.createDataFrame(rows, given.schema), SF))
+    assert got == dict(zip([r.doc_id for r in rows], without_repeated([r.text for r in rows])))
+
+
+CLASHES = [
+    "text_key", "_key", "_changed", "kept_text", "changed", "a.b", "c1", "score", "_id", "kept", "found",
+    "component_id", "n_removed", "seeds", "row", "kept_id",
+]
+
+
+@pytest.mark.parametrize("stage", range(4))
+def test_own_columns_keep_their_values(spark, stage):
+    rnd = random.Random(6)
+    text = lambda: " ".join(f"w{rnd.randrange(500)}" for _ in range(70))
+    rows = [(i, text(), "en", "s", 1, *[f"{c} {i}" for c in CLASHES]) for i in range(12)]
+    rows.append((50, rows[3][1], *rows[3][2:]))
+    names = [*COLUMNS, *CLASHES]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *[f"x{i}" for i in range(len(names) - 2)]]).toDF(*names)
+    out = STAGES[stage][1](spark, docs, SF)
+    assert out.columns == names
+    given = {r[0]: r for r in rows}
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) >= 12 and all(r[2:] == given[r[0]][2:] for r in got)
 
 
 def test_run(spark):

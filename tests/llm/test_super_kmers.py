@@ -5,7 +5,7 @@ from hashlib import sha256
 import numpy as np
 import pytest
 
-from courtstats.llm import super_kmers
+from courtstats.llm import arrays, super_kmers
 from courtstats.llm.queries import QUERIES
 from courtstats.llm.super_kmers import earlier_windows, smallest_documents
 
@@ -65,7 +65,7 @@ def test_odd_rows(spark, monkeypatch, hot):
     if hot:
         monkeypatch.setattr(super_kmers, "HOT_BYTES", hot)
         monkeypatch.setattr(super_kmers, "PART_BYTES", 200)
-        monkeypatch.setattr(super_kmers, "BATCH_BYTES", 500)
+        monkeypatch.setattr(arrays, "BATCH_BYTES", 500)
     rows = odd_rows()
     docs = spark.createDataFrame([(*r, "clash", 1) for r in rows], SCHEMA)
     assert result(earlier_windows(docs)) == brute(rows)

@@ -5,6 +5,7 @@ import numpy as np
 from courtstats.llm import byte_bpe
 from courtstats.llm.queries import QUERIES
 from courtstats.llm.token_counts import fitting, prefix_counts, token_counts
+from tests.llm.oracle import mirrored
 
 SF = "/root/testdata/sf0.001"
 PATH = byte_bpe.vocabulary("byte_bpe_50k.json")
@@ -60,6 +61,7 @@ def test_query_counts_as_the_library(spark):
 
 def test_edges(spark):
     texts = [None, "", " ", "a" * 3000, "é" * 2000, "  \n " * 500, "x<|endoftext|>y", "same", "same", "'re"]
+    texts += mirrored()
     docs = spark.createDataFrame([(None if i == 4 else i // 2, t, 5) for i, t in enumerate(texts)],
                                  "doc_id long, text string, n_tokens int")
     got = sorted((r.n_bytes, r.n_tokens) for r in token_counts(docs).collect())
