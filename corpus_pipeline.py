@@ -5,11 +5,13 @@ columns of the documents. ``doc_id`` need not be unique or present: rows are jud
 by their texts.
 """
 
+from pyspark.sql import functions as F
+
 from courtstats.llm.decontaminate import without_contamination
 from courtstats.llm.minhash import near_duplicates
 from courtstats.llm.packing import pack
 from courtstats.llm.suffix_dedup import without_repeats
-from courtstats.llm.tables import table, text_key
+from courtstats.llm.tables import table, with_key
 from courtstats.llm.toxicity import without_toxic
 from courtstats.sources.shared import stage
 
@@ -30,14 +32,15 @@ def near_dedup(spark, docs, sf_dir):
 
     Rows that repeat both doc_id and text count as one document.
     """
-    kept = near_duplicates(docs).where("kept").select("doc_id", "text_key")
-    kept = kept.toDF("_id", "_key")
-    keyed = docs.withColumn("text_key", text_key())
-    same = keyed["doc_id"].eqNullSafe(kept["_id"]) & (keyed["text_key"] == kept["_key"])
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id"), "text_key")
+    number = f"c{docs.columns.index('doc_id')}"
+    rows = with_key(docs)
+    same = (rows["text_key"] == kept["text_key"]) & rows[number].eqNullSafe(kept["kept_id"])
     return (
-        keyed.join(kept, same, "left_semi")
-        .dropDuplicates(["doc_id", "text_key"])
-        .select(*docs.columns)
+        rows.join(kept, same, "left_semi")
+        .dropDuplicates([number, "text_key"])
+        .drop("text_key")
+        .toDF(*docs.columns)
     )
 
 
