@@ -3,8 +3,11 @@
 The last token of a prefix is the one token ending there that goes with the last
 token of the prefix before it: a pair goes together if encoding both gives the
 pair again. So each prefix costs a few lookups, and its count is one more than an
-earlier one. The counts of a text answer how many tokens any beginning of it has,
-without encoding again.
+earlier one.
+
+The counts are stored as steps from character to character, two bytes for each byte
+of text that compress well. They answer how many tokens any beginning of a text has,
+and which beginning fits any number of tokens, without encoding again.
 """
 
 from functools import cache
@@ -16,9 +19,12 @@ from pyspark.sql import functions as F
 
 from courtstats.llm import byte_bpe
 from courtstats.llm.arrays import Prefixes, pieces
+from courtstats.sources.shared import stage
 
 VOCABULARY = "byte_bpe_50k.json"
 _MOST_PAIRS = 1 << 20
+#: Stored for a byte that does not end a character.
+INSIDE = -(1 << 15)
 
 
 @cache
@@ -127,49 +133,95 @@ def _around(path, data):
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def fitting(data, counts, limit):
-    """Bytes of the longest beginning with at most ``limit`` tokens."""
+def steps_of(data, counts, offsets):
+    """How many tokens each character adds to its text, at its last byte.
+
+    The other bytes of a character hold ``INSIDE``.
+    """
     ends = np.append((data[1:] & 0xC0) != 0x80, True)[: len(data)]
+    at = np.flatnonzero(ends)
+    steps = np.full(len(data), INSIDE, "<i2")
+    steps[at] = np.diff(counts[at], prepend=0)
+    # The first character of a text starts from nothing.
+    first = np.unique(np.searchsorted(at, offsets[:-1][offsets[1:] > offsets[:-1]]))
+    steps[at[first]] = counts[at[first]]
+    return steps
+
+
+def fitting(steps, limit):
+    """Bytes of the longest beginning with at most ``limit`` tokens, in whole characters."""
+    ends = steps != INSIDE
+    counts = np.cumsum(np.where(ends, steps, 0), dtype=np.int64)
     fit = np.flatnonzero(ends & (counts <= limit))
     return int(fit[-1]) + 1 if len(fit) else 0
 
 
-def _counted(path, limit):
+def _stored(path):
+    def run(batches):
+        for batch in batches:
+            for begin, end, data, offsets in pieces(batch.column(1)):
+                steps = steps_of(data, prefix_counts(path, data, offsets), offsets)
+                totals = np.append(0, np.cumsum(np.where(steps == INSIDE, 0, steps), dtype=np.int64))
+                held, at = steps.tobytes(), (2 * offsets).tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(begin, end - begin),
+                        pa.array(np.diff(offsets), pa.int64()),
+                        pa.array(np.diff(totals[offsets]), pa.int64()),
+                        pa.array([held[a:b] for a, b in zip(at[:-1], at[1:])], pa.binary()),
+                    ],
+                    ["doc_id", "n_bytes", "n_tokens", "steps"],
+                )
+
+    return run
+
+
+def _fitted(limit):
     def run(batches):
         for batch in batches:
-            sizes, totals, fits = [], [], []
-            for _, _, data, offsets in pieces(batch.column(1)):
-                counts = prefix_counts(path, data, offsets)
-                some = offsets[1:] > offsets[:-1]
-                last = np.zeros(len(some), np.int64)
-                last[some] = counts[offsets[1:][some] - 1]
-                fit = np.diff(offsets)
-                for i in np.flatnonzero(last > limit):
-                    own = slice(offsets[i], offsets[i + 1])
-                    fit[i] = fitting(data[own], counts[own], limit)
-                sizes.append(np.diff(offsets))
-                totals.append(last)
-                fits.append(fit)
-            join = lambda x: pa.array(np.concatenate(x) if x else [], pa.int64())
+            totals = batch.column(2).to_numpy()
+            fits = batch.column(1).to_numpy().copy()
+            for i in np.flatnonzero(totals > limit):
+                fits[i] = fitting(np.frombuffer(batch.column(3)[i].as_py(), "<i2"), limit)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), join(sizes), join(totals), join(fits)],
+                [*batch.columns[:3], pa.array(fits, pa.int64())],
                 ["doc_id", "n_bytes", "n_tokens", "fit_bytes"],
             )
 
     return run
 
 
+def prefix_table(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """``doc_id, n_bytes, n_tokens, steps`` for every row of ``docs``.
+
+    ``steps`` are 16-bit numbers, little-endian, one for each byte of the text: the
+    tokens that a character adds, at its last byte. Null counts as empty. Rows that
+    repeat are counted each, an empty table gives no rows, other columns are not
+    read. Texts are worked on in slices of 1 MB, a longer one alone.
+    """
+    path = path or byte_bpe.vocabulary(VOCABULARY)
+    return docs.select("doc_id", "text").mapInArrow(
+        _stored(path), "doc_id bigint, n_bytes bigint, n_tokens bigint, steps binary"
+    )
+
+
+def longest_beginnings(table: DataFrame, limit: int) -> DataFrame:
+    """``doc_id, n_bytes, n_tokens, fit_bytes``: what fits ``limit`` tokens, from stored steps."""
+    return table.select("doc_id", "n_bytes", "n_tokens", "steps").mapInArrow(
+        _fitted(limit), "doc_id bigint, n_bytes bigint, n_tokens bigint, fit_bytes bigint"
+    )
+
+
 def token_counts(docs: DataFrame, limit: int = 512, path: str | None = None) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit, fit_bytes`` for every row of ``docs``.
 
     ``n_tokens`` is what the library gives for the whole text (null: empty) without
     added tokens, ``fit_bytes`` the length of the longest beginning, in whole
-    characters, of at most ``limit`` tokens. Rows that repeat are counted each;
-    other columns are ignored. ``path`` is a byte-level BPE vocabulary file.
+    characters, of at most ``limit`` tokens. The counts at all prefixes are stored
+    first, as ``prefix_table`` gives them. Rows that repeat are counted each; an empty
+    table gives no rows and other columns are not read. ``path`` is a byte-level BPE
+    vocabulary file.
     """
-    path = path or byte_bpe.vocabulary(VOCABULARY)
-    return (
-        docs.select("doc_id", "text")
-        .mapInArrow(_counted(path, limit), "doc_id bigint, n_bytes bigint, n_tokens bigint, fit_bytes bigint")
-        .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "fit_bytes")
+    return longest_beginnings(stage(prefix_table(docs, path), "prefix-counts"), limit).select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "fit_bytes"
     )

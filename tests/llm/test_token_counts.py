@@ -4,7 +4,13 @@ import numpy as np
 
 from courtstats.llm import byte_bpe
 from courtstats.llm.queries import QUERIES
-from courtstats.llm.token_counts import fitting, prefix_counts, token_counts
+from courtstats.llm.token_counts import (
+    INSIDE,
+    longest_beginnings,
+    prefix_counts,
+    prefix_table,
+    token_counts,
+)
 from tests.llm.oracle import mirrored
 
 SF = "/root/testdata/sf0.001"
@@ -70,11 +76,21 @@ def test_edges(spark):
     assert token_counts(docs.limit(0)).count() == 0
 
 
-def test_longest_beginning_within_a_budget():
-    text = "it's  raining 漢字 tion 12345 " * 3
-    data, offsets = packed([text])
-    counts = prefix_counts(PATH, data, offsets)
-    for limit in range(0, 40, 3):
-        best = max((len(text[:i].encode()) for i in range(len(text) + 1)
-                    if len(library([text[:i]])[0]) <= limit), default=0)
-        assert fitting(data, counts, limit) == best
+def test_longest_beginning_within_a_budget(spark):
+    """One stored table answers every budget and the count of every beginning."""
+    texts = ["it's  raining 漢字 tion 12345 " * 3, None, "", "é🙂" * 9, "x<|endoftext|>y the end", "  \n  "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = prefix_table(docs)
+    for r in table.collect():
+        text, steps = texts[r.doc_id] or "", np.frombuffer(r.steps, "<i2")
+        ends = np.flatnonzero(steps != INSIDE)
+        counts = np.cumsum(steps[ends], dtype=np.int64)
+        assert counts.tolist() == [len(x) for x in library([text[: i + 1] for i in range(len(text))])]
+        assert (ends + 1).tolist() == [len(text[: i + 1].encode()) for i in range(len(text))]
+    stored = table.cache()
+    for limit in range(0, 40, 7):
+        for r in longest_beginnings(stored, limit).collect():
+            text = texts[r.doc_id] or ""
+            best = max(len(text[:i].encode()) for i in range(len(text) + 1) if len(library([text[:i]])[0]) <= limit)
+            assert r.fit_bytes == best
+    stored.unpersist()
