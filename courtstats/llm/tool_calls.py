@@ -10,6 +10,7 @@ messages are written as canonical JSON.
 
 import json
 import math
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -60,30 +61,71 @@ def canonical(value):
     return json.dumps(plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
+#: Keywords that say nothing about a value.
+NOTES = {"title", "description", "default", "examples", "$schema", "$id", "$comment"}
+RULES = {
+    "type", "enum", "const", "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum",
+    "minLength", "maxLength", "pattern", "minItems", "maxItems", "items", "properties",
+    "required", "additionalProperties", "anyOf",
+}
+
+
+def check_schema(schema):
+    """Raise ValueError for a schema with a keyword or type that is not known here."""
+    if not isinstance(schema, dict):
+        raise ValueError(f"{schema!r} is not an object")
+    if unknown := set(schema) - RULES - NOTES:
+        raise ValueError(f"unknown schema keywords: {', '.join(sorted(unknown))}")
+    if unknown := set(_types(schema)) - set(TYPES):
+        raise ValueError(f"unknown types: {', '.join(sorted(map(str, unknown)))}")
+    if not isinstance(schema.get("additionalProperties", False), bool):
+        raise ValueError("additionalProperties must be true or false")
+    re.compile(schema.get("pattern", ""))
+    parts = [*schema.get("properties", {}).values(), *schema.get("anyOf", [])]
+    for part in [*parts, *([schema["items"]] if "items" in schema else [])]:
+        check_schema(part)
+
+
+def _types(schema):
+    wanted = schema.get("type", [])
+    return wanted if isinstance(wanted, list) else [wanted]
+
+
+def _is_of(value, kind):
+    return isinstance(value, TYPES[kind]) and not (
+        isinstance(value, bool) and kind in ("integer", "number")
+    )
+
+
 def violations(value, schema, at="arguments"):
-    """What is wrong with a value under a schema, in the order of the schema.
+    """What is wrong with a value under a schema, type first.
 
-    Known keywords: type, enum, minimum, maximum, maxLength, items, properties,
-    required, additionalProperties (false).
+    Known keywords are those in ``RULES``; an integer is a number without fraction
+    part, written as one. Values are the same if their canonical JSON is.
     """
-    wanted = schema.get("type")
-    if wanted is not None:
-        fits = isinstance(value, TYPES[wanted]) and not (
-            isinstance(value, bool) and wanted in ("integer", "number")
-        )
-        if not fits:
-            return [f"{at} is not of type {wanted}"]
+    wanted = _types(schema)
+    if wanted and not any(_is_of(value, kind) for kind in wanted):
+        return [f"{at} is not of type {' or '.join(wanted)}"]
     found = []
-    if "enum" in schema and value not in schema["enum"]:
-        found.append(f"{at} is none of the values")
+
+    def rule(name, holds, text):
+        if name in schema and not holds(schema[name]):
+            found.append(f"{at} is {text}")
+
+    rule("enum", lambda some: canonical(value) in map(canonical, some), "none of the values")
+    rule("const", lambda one: canonical(value) == canonical(one), "not the value")
     if isinstance(value, (int, float)) and not isinstance(value, bool):
-        if value < schema.get("minimum", value):
-            found.append(f"{at} is too small")
-        if value > schema.get("maximum", value):
-            found.append(f"{at} is too large")
-    if isinstance(value, str) and len(value) > schema.get("maxLength", len(value)):
-        found.append(f"{at} is too long")
+        rule("minimum", lambda least: value >= least, "too small")
+        rule("exclusiveMinimum", lambda least: value > least, "too small")
+        rule("maximum", lambda most: value <= most, "too large")
+        rule("exclusiveMaximum", lambda most: value < most, "too large")
+    if isinstance(value, str):
+        rule("minLength", lambda least: len(value) >= least, "too short")
+        rule("maxLength", lambda most: len(value) <= most, "too long")
+        rule("pattern", lambda text: re.search(text, value), "not of the pattern")
     if isinstance(value, list):
+        rule("minItems", lambda least: len(value) >= least, "too short")
+        rule("maxItems", lambda most: len(value) <= most, "too long")
         for i, x in enumerate(value):
             found += violations(x, schema.get("items", {}), f"{at}[{i}]")
     if isinstance(value, dict):
@@ -94,6 +136,7 @@ def violations(value, schema, at="arguments"):
                 found += violations(value[k], known[k], f"{at}.{k}")
             elif schema.get("additionalProperties") is False:
                 found.append(f"{at}.{k} is unknown")
+    rule("anyOf", lambda some: any(not violations(value, x, at) for x in some), "of none of the forms")
     return found
 
 
@@ -174,7 +217,11 @@ def tool_messages(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]
     steps), or orphan (results without a call). Of several results the earliest
     counts; calls that are repeated as a whole count once; needed identifiers without
     a call are passed over. A null identifier or conversation links with nothing.
+    Empty tables give no rows; texts are kept whole, however long. A schema with a
+    keyword that is not in ``RULES`` raises.
     """
+    for schema in schemas.values():
+        check_schema(schema)
     calls = stage(
         calls.select(*KEYS, "turn", "name", "arguments", "needs").distinct(), "calls"
     )

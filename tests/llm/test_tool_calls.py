@@ -4,7 +4,14 @@ from zlib import crc32
 import pytest
 
 from courtstats.llm.queries import QUERIES
-from courtstats.llm.tool_calls import SCHEMAS, canonical, parse, tool_messages, violations
+from courtstats.llm.tool_calls import (
+    SCHEMAS,
+    canonical,
+    check_schema,
+    parse,
+    tool_messages,
+    violations,
+)
 
 SF = "/root/testdata/sf0.001"
 
@@ -72,3 +79,33 @@ def test_canonical_and_schema():
     assert canonical({"b": [1.0, 0.5, None], "a": "é\n"}) == '{"a":"é\\n","b":[1,0.5,null]}'
     assert violations([1, "x"], {"type": "array", "items": {"type": "integer"}}) == ["arguments[1] is not of type integer"]
     assert violations(5, {"type": "number", "maximum": 4}) == ["arguments is too large"]
+
+
+@pytest.mark.parametrize(
+    "value, schema, wrong",
+    [
+        ("ab", {"minLength": 3}, "too short"), ("ab", {"pattern": "^b"}, "not of the pattern"),
+        (True, {"enum": [1]}, "none of the values"), (1, {"const": True}, "not the value"),
+        (3, {"exclusiveMinimum": 3}, "too small"), (3, {"exclusiveMaximum": 3}, "too large"),
+        ([], {"minItems": 1}, "too short"), ([1, 2], {"maxItems": 1}, "too long"),
+        (None, {"type": ["string", "integer"]}, "not of type string or integer"),
+        (5, {"anyOf": [{"type": "string"}, {"maximum": 4}]}, "of none of the forms"),
+    ],
+)
+def test_keywords(value, schema, wrong):
+    check_schema(schema)
+    assert violations(value, schema) == [f"arguments is {wrong}"]
+
+
+def test_values_that_fit():
+    assert violations(4, {"anyOf": [{"type": "string"}, {"maximum": 4}]}) == []
+    assert violations("bc", {"type": ["null", "string"], "pattern": "^b", "minLength": 2}) == []
+    assert violations(1.0, {"enum": [1]}) == [] and violations([2], {"minItems": 1, "maxItems": 1}) == []
+
+
+@pytest.mark.parametrize("schema", [{"oneOf": []}, {"type": "text"}, {"items": {"format": "x"}}, {"additionalProperties": {}}, 3])
+def test_unknown_keywords_raise(spark, schema):
+    empty = spark.createDataFrame([], "conv_id long, turn long, call_id string, name string, arguments string, needs array<string>")
+    results = spark.createDataFrame([], "conv_id long, turn long, call_id string, content string")
+    with pytest.raises(ValueError):
+        tool_messages(empty, results, {"t": {"properties": {"x": schema}}})
