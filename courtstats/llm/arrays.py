@@ -107,7 +107,11 @@ def _is_text(column):
     return pa.types.is_string(column.type) or pa.types.is_large_string(column.type)
 
 
-def slices(offsets, most=1 << 20):
+#: Texts are worked on in slices whose arrays stay in the cache.
+SLICE_BYTES = 1 << 17
+
+
+def slices(offsets, most=SLICE_BYTES):
     """Ranges of rows with about ``most`` bytes; a longer text stands alone."""
     row, rows = 0, len(offsets) - 1
     while row < rows:
@@ -164,7 +168,7 @@ def shingle_hashes(words, counts, size):
     return mix(out), have
 
 
-def pieces(column, most=1 << 20):
+def pieces(column, most=SLICE_BYTES):
     """Slices of a text column small enough to work on: rows, bytes, offsets."""
     data, offsets = bytes_of(column)
     for begin, end in slices(offsets, most):

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
 from courtstats.llm.arrays import Prefixes, bytes_of, in_batches, mix, pieces, word_spans
+from courtstats.llm.super_kmers import texts_with_shared_windows
 from courtstats.llm.suffix_array import permuted_common_prefixes, suffix_array
 from courtstats.llm.tables import distinct_texts, text_key, with_key
 from courtstats.sources.shared import stage
@@ -34,8 +35,11 @@ from courtstats.sources.shared import stage
 LENGTH = 400
 GRAM = 8
 WORD_GRAM = 3
+#: A run of over 50 words that documents share is reported.
+PASSAGE_WORDS = 51
 #: A shard is worked on in parts of about this many bytes, whole shares each.
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 18
+PARTITION_BYTES = 16 << 20
 #: A share with more bytes of different fragments is cut into single windows.
 HOT_BYTES = 16 << 20
 _END = 254
@@ -199,8 +203,9 @@ def _word_places(texts, words):
     windows = stage(
         texts.mapInArrow(_word_windows(words), "window binary, text_key binary, first bigint"), "windows"
     )
-    twice = windows.groupBy("window").count().where("count > 1").select("window")
-    return windows.join(twice, "window").groupBy("text_key").agg(F.collect_list("first").alias("firsts"))
+    twice = stage(windows.groupBy("window").count().where("count > 1").select("window"), "twice")
+    places = windows.join(twice, "window").groupBy("text_key").agg(F.collect_list("first").alias("firsts"))
+    return stage(places, "word-places")
 
 
 def repeated_starts(held, offsets, owned, weights, length=LENGTH):
@@ -351,11 +356,13 @@ def repeated_text(docs: DataFrame, length: int = LENGTH, words: int | None = Non
     )
     short = F.xxhash64("text_key").alias("id")
     each = keyed.select(short, F.explode("keys").alias("share"))
-    twice = (
+    # Stored, so that the join is between two shuffles and hot shares can be split.
+    twice = stage(
         each.groupBy("share")
         .agg(F.min("id").alias("a"), F.max("id").alias("b"))
         .where("a < b")
-        .select("share")
+        .select("share"),
+        "twice",
     )
     wanted = (
         each.join(twice, "share")
@@ -372,8 +379,8 @@ def repeated_text(docs: DataFrame, length: int = LENGTH, words: int | None = Non
         ),
         "fragments",
     )
-    runs = _repeated(fragments, length)
-    places = (
+    runs = stage(_repeated(fragments, length), "runs")
+    places = stage(
         fragments.select("fragment", "text_key", "start")
         .join(runs, "fragment")
         .select(
@@ -388,7 +395,8 @@ def repeated_text(docs: DataFrame, length: int = LENGTH, words: int | None = Non
             ).alias("run"),
         )
         .groupBy("text_key")
-        .agg(F.collect_list("run").alias("runs"))
+        .agg(F.collect_list("run").alias("runs")),
+        "places",
     )
     found = texts.select("text_key", "text").join(places, "text_key", "left" if words else "inner")
     if words:
@@ -440,7 +448,7 @@ def _repeated(fragments, length):
     size = different.agg(F.sum(F.octet_length("held"))).first()[0] or 0
     most = int(fragments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        rows.repartition(max(most, -(-size // (16 * PART_BYTES))), "share")
+        rows.repartition(max(most, -(-size // PARTITION_BYTES)), "share")
         .sortWithinPartitions("share")
         .select("share", "fragment", "skip", "held", "owned", "weight")
         .mapInArrow(_sorted_parts(length), "fragment binary, runs array<struct<a: bigint, b: bigint>>")
@@ -462,19 +470,31 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, words: int | None = N
     )
 
 
-def repeat_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row."""
+def repeat_report(docs: DataFrame, length: int = LENGTH, words: int = PASSAGE_WORDS) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, repeats`` for every row.
+
+    ``repeats`` is true if bytes go, and also if a run of ``words`` words, which may
+    be shorter than ``length``, stands in another document as well (whatever white
+    space stands between the words). Nulls count as empty; rows that repeat are
+    judged each, an empty table gives no rows, and other columns are not read.
+    """
     rows = docs.select(
         "doc_id",
         text_key().alias("text_key"),
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"),
     )
-    found = repeated_text(docs, length).drop("kept_text")
+    found = stage(repeated_text(docs, length).drop("kept_text"), "repeated")
+    short = texts_with_shared_windows(docs, found, words).select(
+        F.col("text_key").alias("short_key"), F.lit(True).alias("shared")
+    )
+    short = stage(short, "passages")
     zero = F.lit(0).cast("bigint")
-    return rows.join(found, "text_key", "left").select(
+    judged = rows.join(found, "text_key", "left").withColumn("short_key", F.substring("text_key", 1, 16))
+    return judged.join(short, "short_key", "left").select(
         "doc_id",
         "n_bytes",
         F.coalesce("n_removed", zero).alias("n_removed"),
         F.coalesce("n_spans", zero).alias("n_spans"),
         F.coalesce("kept_sha256", F.lower(F.hex("text_key"))).alias("kept_sha256"),
+        (F.col("n_removed").isNotNull() | (F.col("shared").isNotNull() & F.col("doc_id").isNotNull())).alias("repeats"),
     )

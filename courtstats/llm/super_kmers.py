@@ -324,6 +324,87 @@ def _cut(window):
     return run
 
 
+def _windows(window):
+    """Every window in the wanted super-k-mers of some texts."""
+
+    def rows(batches):
+        for batch in batches:
+            for i, (data, starts, ends, low, high, bucket) in enumerate(_texts(batch.column(2), window)):
+                at = np.flatnonzero(np.isin(bucket, np.array(batch.column(3)[i].as_py(), np.int64)))
+                held, to = _joined(data, starts, ends)
+                text, doc = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                for first, last in zip(low[at].tolist(), high[at].tolist()):
+                    for k in range(first, last + 1):
+                        yield _digest(held[to[k] : to[k + window] - 1]), text, doc
+
+    def run(batches):
+        return in_batches(
+            ["window", "text_key", "doc"],
+            [pa.binary(), pa.binary(), pa.int64()],
+            rows(batches),
+            lambda row: 100,
+        )
+
+    return run
+
+
+def texts_with_shared_windows(docs: DataFrame, settled: DataFrame, window: int) -> DataFrame:
+    """``text_key`` of texts with a window that another document has, too.
+
+    ``settled`` has the ``text_key`` (32 bytes of SHA-256, as everywhere) of texts
+    that need no answer; others are compared with all texts. A null ``doc_id`` is no
+    other document.
+    """
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    short = settled.select(F.substring("text_key", 1, 16).alias("text_key"), F.lit(True).alias("settled"))
+    keyed = stage(
+        texts.where("doc_id is not null")
+        .mapInArrow(_keyed(window), "doc_id bigint, text_key binary, buckets array<bigint>")
+        .groupBy("text_key")
+        .agg(F.min("doc_id").alias("doc"), F.max("doc_id").alias("last"), F.first("buckets").alias("buckets"))
+        .join(short, "text_key", "left"),
+        "keyed",
+    )
+    each = keyed.select(
+        F.xxhash64("text_key").alias("id"),
+        "doc",
+        F.col("settled").isNull().alias("open"),
+        F.explode("buckets").alias("bucket"),
+    )
+    shared = stage(
+        each.groupBy("bucket")
+        .agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.max("open").alias("open"))
+        .where("a < b and open")
+        .select("bucket"),
+        "shared",
+    )
+    wanted = stage(
+        each.select("id", "bucket").join(shared, "bucket").groupBy("id").agg(F.collect_list("bucket").alias("wanted")),
+        "wanted",
+    )
+    ids = stage(
+        keyed.select("text_key", "doc", F.xxhash64("text_key").alias("id")).join(wanted, "id").drop("id"), "ids"
+    )
+    held = (
+        texts.select(_text_key().alias("text_key"), "text")
+        .join(ids, "text_key")
+        .groupBy("text_key")
+        .agg(*[F.first(c).alias(c) for c in ("doc", "text", "wanted")])
+    )
+    windows = stage(held.mapInArrow(_windows(window), "window binary, text_key binary, doc bigint"), "windows")
+    twice = stage(
+        windows.groupBy("window")
+        .agg(F.min("doc").alias("a"), F.max("doc").alias("b"))
+        .where("a < b")
+        .select("window"),
+        "twice",
+    )
+    found = windows.join(twice, "window").select("text_key")
+    copied = keyed.where("doc < last").select("text_key")
+    # Settled ones may be among them.
+    return found.unionAll(copied).distinct()
+
+
 def earlier_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every row.
 

@@ -197,7 +197,7 @@ def prefix_table(docs: DataFrame, path: str | None = None) -> DataFrame:
     ``steps`` are 16-bit numbers, little-endian, one for each byte of the text: the
     tokens that a character adds, at its last byte. Null counts as empty. Rows that
     repeat are counted each, an empty table gives no rows, other columns are not
-    read. Texts are worked on in slices of 1 MB, a longer one alone.
+    read. Texts are worked on in slices of 128 KB, a longer one alone.
     """
     path = path or byte_bpe.vocabulary(VOCABULARY)
     return docs.select("doc_id", "text").mapInArrow(
