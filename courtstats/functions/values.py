@@ -13,7 +13,7 @@ def to_number(text: Column, data_type: str = "smallint", strict: bool = True) ->
 
 
 def percent_to_ratio(text: Column, strict: bool = True) -> Column:
-    """First number of a text such as ``54.5%`` as a ratio, with all its digits."""
+    """First number of a text such as ``54.5%`` as a ratio, to six digits of the percent."""
     number = to_number(first_match(text, PERCENT, 1), "decimal(18,6)", strict)
     return (number / 100).cast("decimal(18,8)")
 
