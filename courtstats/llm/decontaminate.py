@@ -245,7 +245,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``item_id`` is the item with the most words covered (the smallest of several),
     null without overlap. Null and empty texts are clean. Rows that repeat are
-    judged alike; other columns are ignored.
+    judged alike;
+    an empty table gives no rows, texts are taken whole, however long, and other
+    columns are not read.
     """
     found = stage(
         contaminated_texts(docs, benchmark)
@@ -266,6 +268,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text overlaps no item, all columns kept."""
+    """The rows of ``docs`` whose text overlaps no item, all columns kept.
+
+    Null and empty texts stay, and so do all rows if there is no item; rows that
+    repeat are judged alike, an empty table stays empty.
+    """
     found = stage(contaminated_texts(docs, benchmark).select("text_key").distinct(), "contaminated")
     return rows_without(docs, found)

@@ -125,7 +125,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     is the smallest doc_id reachable over links, ``kept`` marks rows with that
     doc_id. Null and empty texts have no set, are linked with nothing and kept.
     Every row counts as a document, rows that repeat a doc_id too; a null doc_id
-    is kept only if no other doc_id is in its component. Other columns are ignored.
+    is kept only if no other doc_id is in its component.
+    An empty table gives no rows, texts are taken whole, however long, and other
+    columns are not read.
     """
     signed = stage(
         docs.select("doc_id", "text", text_key().alias("k")).mapInArrow(

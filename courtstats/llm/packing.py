@@ -110,8 +110,9 @@ def pack(docs: DataFrame, size: int = SIZE, path: str | None = None) -> DataFram
 
     ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``. A document
     is its ids (null text: none) and id 0; each id lies in one piece. Offsets of a
-    sequence have no gaps. Rows that repeat are packed each; other columns are
-    ignored. ``path`` is a byte-level BPE vocabulary file.
+    sequence have no gaps. Rows that repeat are packed each;
+    an empty table gives no rows, texts are taken whole, however long, and other
+    columns are not read. ``path`` is a byte-level BPE vocabulary file.
     """
     path = path or byte_bpe.vocabulary(VOCABULARY)
     cut = stage(docs.select("doc_id", "text").mapInArrow(_cut(path, size), _TYPES), "pieces")

@@ -127,7 +127,8 @@ def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     A row fails the base with fewer than 50 words or more than half of them in
     windows of three words that come again in the text; it is kept if it passes the
     base and every rule. A null text has no words. Rows that repeat are judged each;
-    other columns are ignored.
+    an empty table gives no rows, texts are taken whole, however long, and other
+    columns are not read.
     """
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")

@@ -459,7 +459,8 @@ def _repeated(fragments, length):
 def without_repeats(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
     """``docs`` with repeated strings taken out of the text; all rows and columns stay.
 
-    ``length`` and ``words`` as in ``repeated_text``.
+    ``length`` and ``words`` as in ``repeated_text``. A null text stays null, an empty
+    table stays empty.
     """
     changed = repeated_text(docs, length, words).select("text_key", "kept_text")
     rows = with_key(docs).join(changed.withColumn("changed", F.lit(True)), "text_key", "left")

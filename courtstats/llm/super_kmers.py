@@ -57,10 +57,10 @@ def super_kmers(words, counts, window=WINDOW, gram=GRAM):
         return none, none, none
     at = np.arange(len(words) - gram + 1)
     value = (mix(Prefixes(words).of(at, at + gram)) & ~_POSITION) | at.astype(np.uint64)
-    width = window - gram + 1
-    least = value[: len(value) - width + 1].copy()
-    for k in range(1, width):
-        np.minimum(least, value[k : len(value) - width + 1 + k], out=least)
+    least, size = value, 1
+    while size < window - gram + 1:
+        step = min(size, window - gram + 1 - size)
+        least, size = np.minimum(least[:-step], least[step:]), size + step
     ends = np.cumsum(counts)
     begins = ends - counts
     some = counts >= window
@@ -385,12 +385,9 @@ def texts_with_shared_windows(docs: DataFrame, settled: DataFrame, window: int)
     ids = stage(
         keyed.select("text_key", "doc", F.xxhash64("text_key").alias("id")).join(wanted, "id").drop("id"), "ids"
     )
-    held = (
-        texts.select(_text_key().alias("text_key"), "text")
-        .join(ids, "text_key")
-        .groupBy("text_key")
-        .agg(*[F.first(c).alias(c) for c in ("doc", "text", "wanted")])
-    )
+    # Copies are dropped in the reading tasks, before the join.
+    whole = texts.groupBy(_text_key().alias("text_key")).agg(F.first("text").alias("text"))
+    held = whole.join(ids, "text_key").select("text_key", "doc", "text", "wanted")
     windows = stage(held.mapInArrow(_windows(window), "window binary, text_key binary, doc bigint"), "windows")
     twice = stage(
         windows.groupBy("window")

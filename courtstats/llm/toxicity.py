@@ -516,7 +516,9 @@ def score_texts(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LA
 
     ``score`` looks at the whole text only. Null and empty texts get the score of a
     text without features. ``held_out`` marks rows whose crc32(doc_id as text) mod 5
-    is 0 (null ids too). Rows that repeat are scored each; other columns are ignored.
+    is 0 (null ids too). Rows that repeat are scored each;
+    an empty table gives no rows, texts are taken whole, however long, and other
+    columns are not read.
     """
     learned = train(docs, labels, most_labelled)
     return docs.select("doc_id", "text").mapInArrow(_scored(*learned), "doc_id bigint, score double").select(
@@ -528,7 +530,11 @@ def score_texts(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LA
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with a score under 0.5, all columns kept."""
+    """The rows of ``docs`` with a score under 0.5, all columns kept.
+
+    Scores are those of ``score_texts``: null and empty texts and rows that repeat are
+    scored each, an empty table stays empty.
+    """
     learned = train(docs, labels)
     # Columns go by number, so names neither clash nor need quoting, and the text
     # goes to the workers once.

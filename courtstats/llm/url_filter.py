@@ -34,7 +34,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> D
     the path of the URL starts with its path. The longest rule (host and path
     together, then its host) decides, of equal rules ``block``; without one
     ``default`` does. A null URL, or one without ``://``, has empty host and path.
-    Rows that repeat are judged each; other columns are ignored.
+    Rows that repeat are judged each;
+    an empty table gives no rows, URLs are taken whole, however long, and other
+    columns are not read.
     """
     rules = rules.select(
         F.coalesce("host", F.lit("")).alias("rule_host"),

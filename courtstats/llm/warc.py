@@ -59,7 +59,8 @@ def write_archive(pages: DataFrame, folder: str, least_bytes: int = 0) -> None:
     page_id is a response and the others revisit it; smaller payloads are all
     responses. Rows that repeat a page_id and its payload are alike; a null page_id
     is a response only if its payload has no other. A null url has no field, line
-    ends in a url are percent-encoded. Other columns are not kept.
+    ends in a url are percent-encoded. An empty table gives an archive without records,
+    payloads are kept whole, however long. Other columns are not kept.
     """
     html = F.coalesce("html", F.lit(""))
     rows = pages.select(
