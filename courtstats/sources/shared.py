@@ -65,10 +65,22 @@ def run_owning_stages(spark: SparkSession):
     mine = []
     token = _staged.set(mine)
     try:
-        yield
+        yield mine
     finally:
         _staged.reset(token)
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path
-        settings = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in map(hadoop, mine):
-            path.getFileSystem(settings).delete(path, True)
+        for path in mine:
+            forget(spark, path)
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a staged table."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stage_result(spark: SparkSession, make, name: str) -> tuple[DataFrame, str]:
+    """The staged result of ``make()`` and its path; what was staged on the way goes."""
+    with run_owning_stages(spark) as mine:
+        found = stage(make(), name)
+        path = mine.pop()
+    return found, path
