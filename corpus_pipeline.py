@@ -13,7 +13,7 @@ from courtstats.llm.packing import pack
 from courtstats.llm.suffix_dedup import without_repeats
 from courtstats.llm.tables import table, with_key
 from courtstats.llm.toxicity import without_toxic
-from courtstats.sources.shared import stage
+from courtstats.sources.shared import forget, stage_result
 
 #: The stages learn a model, search for copies and cut tokens, which SQL cannot express.
 ORACLE_SQL = None
@@ -70,8 +70,17 @@ STAGES = [
 
 
 def run(spark, sf_dir):
-    """All stages over the documents, each written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents, each written and read again.
+
+    What a stage wrote on its way, and the rows of the stage before, are deleted when
+    its own rows are written.
+    """
+    docs, path = table(spark, sf_dir, "documents"), None
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
+        made, own = stage_result(
+            spark, lambda: function(spark, docs, sf_dir), name.replace(" ", "-")
+        )
+        if path:
+            forget(spark, path)
+        docs, path = made, own
     return docs
