@@ -1,3 +1,4 @@
+import os
 import random
 import re
 from collections import Counter
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from corpus_pipeline import STAGES
+from courtstats.sources.shared import shared_folder
 from tests.llm.test_decontaminate import overlap
 from tests.llm.test_minhash import brute
 from tests.llm.test_packing import check
@@ -142,4 +144,8 @@ def test_own_columns_keep_their_values(spark, stage):
 
 
 def test_run(spark):
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
     assert corpus_pipeline.run(spark, SF).count() > 0
+    # Only the rows of the last stage stay.
+    assert [n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before] == ["packing"]
