@@ -27,19 +27,19 @@ def _names(text, starts, ends, bits):
     each = 63 // bits
     pad = np.uint64((1 << bits) - 1)
     rank = np.zeros(len(starts), np.int64)
+    symbols = np.append(text, 0).astype(np.uint64)
     rows, at = np.arange(len(starts)), 0
     while len(rows):
-        left = (ends[rows] - starts[rows] + 1) - at
+        begin = starts[rows] + at
+        left = ends[rows] - begin + 1
         key = np.zeros(len(rows), np.uint64)
         for k in range(each):
-            where = starts[rows] + at + k
-            inside = k < left
-            symbol = np.full(len(rows), pad)
-            known = inside & (where < len(text))
-            symbol[known] = text[where[known]]
-            symbol[inside & (where >= len(text))] = 0
-            key = (key << np.uint64(bits)) | symbol
-        order = np.lexsort((key, rank[rows]))
+            symbol = symbols[np.minimum(begin + k, len(text))]
+            symbol[left <= k] = pad
+            key <<= np.uint64(bits)
+            key |= symbol
+        # At first all have one rank.
+        order = np.lexsort((key, rank[rows])) if at else np.argsort(key, kind="stable")
         old, key = rank[rows][order], key[order]
         new_group = np.append(True, old[1:] != old[:-1])
         new = new_group | np.append(True, key[1:] != key[:-1])
