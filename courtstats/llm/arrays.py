@@ -109,6 +109,8 @@ def _is_text(column):
 
 #: Texts are worked on in slices whose arrays stay in the cache.
 SLICE_BYTES = 1 << 17
+#: For work that looks every different word of a slice up once.
+LARGE_SLICE_BYTES = 1 << 20
 
 
 def slices(offsets, most=SLICE_BYTES):

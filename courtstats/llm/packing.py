@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtstats.llm import byte_bpe
-from courtstats.llm.arrays import pieces
+from courtstats.llm.arrays import LARGE_SLICE_BYTES, pieces
 from courtstats.sources.shared import stage
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -30,7 +30,7 @@ def _cut(path, size):
     def run(batches):
         for batch in batches:
             rows = [[] for _ in range(5)]
-            for begin, end, data, offsets in pieces(batch.column(1)):
+            for begin, end, data, offsets in pieces(batch.column(1), LARGE_SLICE_BYTES):
                 ids, counts = byte_bpe.ids_of(path, data, offsets)
                 edges = np.append(0, np.cumsum(counts))
                 for i in range(begin, end):

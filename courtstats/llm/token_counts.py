@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtstats.llm import byte_bpe
-from courtstats.llm.arrays import Prefixes, pieces
+from courtstats.llm.arrays import LARGE_SLICE_BYTES, Prefixes, pieces
 from courtstats.sources.shared import stage
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -159,7 +159,7 @@ def fitting(steps, limit):
 def _stored(path):
     def run(batches):
         for batch in batches:
-            for begin, end, data, offsets in pieces(batch.column(1)):
+            for begin, end, data, offsets in pieces(batch.column(1), LARGE_SLICE_BYTES):
                 steps = steps_of(data, prefix_counts(path, data, offsets), offsets)
                 totals = np.append(0, np.cumsum(np.where(steps == INSIDE, 0, steps), dtype=np.int64))
                 held, at = steps.tobytes(), (2 * offsets).tolist()
@@ -197,7 +197,7 @@ def prefix_table(docs: DataFrame, path: str | None = None) -> DataFrame:
     ``steps`` are 16-bit numbers, little-endian, one for each byte of the text: the
     tokens that a character adds, at its last byte. Null counts as empty. Rows that
     repeat are counted each, an empty table gives no rows, other columns are not
-    read. Texts are worked on in slices of 128 KB, a longer one alone.
+    read. Texts are worked on in slices of 1 MB, a longer one alone.
     """
     path = path or byte_bpe.vocabulary(VOCABULARY)
     return docs.select("doc_id", "text").mapInArrow(

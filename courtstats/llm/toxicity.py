@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtstats.llm.arrays import Prefixes, pieces
+from courtstats.llm.arrays import LARGE_SLICE_BYTES, Prefixes, pieces
 from courtstats.sources.shared import stage
 
 #: Letters that signs stand for (fixed values); a sign may also stand for nothing.
@@ -71,7 +71,7 @@ def _codes(data, offsets):
 def _counted_pairs(batches):
     total = np.zeros(SIZE * SIZE, np.int64)
     for batch in batches:
-        for _, _, data, offsets in pieces(batch.column(0)):
+        for _, _, data, offsets in pieces(batch.column(0), LARGE_SLICE_BYTES):
             codes, edges = _codes(data, offsets)
             number = np.insert(_tables()[1][codes], edges, 0).astype(np.int64)
             total += np.bincount(number[:-1] * SIZE + number[1:], minlength=SIZE * SIZE)
@@ -314,7 +314,7 @@ def _readings(codes, begins, ends, model):
 
 def _features(column, model):
     """For each text: hashes of its words and their beginnings, as written and restored."""
-    for first, last, data, offsets in pieces(column):
+    for first, last, data, offsets in pieces(column, LARGE_SLICE_BYTES):
         codes, edges = _codes(data, offsets)
         begins, ends = _disguised(codes, edges)
         owner = np.searchsorted(edges, begins, "right") - 1
