@@ -241,11 +241,13 @@ _POINTS = f'(?s)^((?:.*?{fixed.GROUP_CLASS}">){{3}}.*?{_CELL})'
 
 def faulty_pages(spark, sf_dir):
     pages = game_pages(spark, sf_dir).drop("Season")
-    for rest, column, (pattern, new), _, _ in FAULTS:
-        changed = F.regexp_replace(column, pattern, new)
-        pages = pages.withColumn(
-            column, F.when(F.col("page_id") % 13 == rest, changed).otherwise(F.col(column))
-        )
+    # A page has one fault at most, so each column is changed in one step.
+    for column in ("url", "html"):
+        changed = F.when(F.lit(False), F.col(column))
+        for rest, where, (pattern, new), _, _ in FAULTS:
+            if where == column:
+                changed = changed.when(F.col("page_id") % 13 == rest, F.regexp_replace(column, pattern, new))
+        pages = pages.withColumn(column, changed.otherwise(F.col(column)))
     return with_page_season(pages)
 
 
