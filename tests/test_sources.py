@@ -75,6 +75,15 @@ def test_sheet_reads_only_needed_columns(spark, tmp_path):
     assert "ReadSchema: struct<TEAM:string,PACE:string>" in plan
 
 
+def test_sheet_folders_hold_one_file_each(spark, tmp_path):
+    """However many tasks have rows of a season."""
+    rows = spark.range(0, 600, 1, 6).selectExpr("concat('T', id) as TEAM", "id % 5 as PACE", "concat(id % 3, '_x') as Season")
+    write_sheet(rows, str(tmp_path / "s"), "Season")
+    files = [len([f for f in os.listdir(tmp_path / "s" / d) if f.endswith(".csv")]) for d in os.listdir(tmp_path / "s") if "=" in d]
+    assert files == [1, 1, 1]
+    assert spark.read.option("header", True).csv(str(tmp_path / "s")).distinct().count() == 600
+
+
 def test_run_seasons(spark, tmp_path):
     """Pages and sheets in, season folders out; a second run gives the same."""
     pages = []
