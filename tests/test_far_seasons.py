@@ -31,7 +31,7 @@ def test_links_name_seasons_of_any_year(spark):
     assert got == ["22_23", "7999_8000", "8000_8001", "123454789_123454790", None, None, None]
 
 
-@pytest.mark.parametrize("name", ["boxscore_from_pages", "player_running_averages", "season_features", "team_running_averages"])
+@pytest.mark.parametrize("name", ["boxscore_from_pages", "player_running_averages", "season_features", "team_running_averages", "unmatched_teams"])
 def test_query(spark, folder, name):
     df = QUERIES[name](spark, folder)
     duck = duckdb.connect()
